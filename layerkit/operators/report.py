@@ -91,14 +91,19 @@ def write_summary(results: DataFrame, path: str) -> None:
 
 
 def write_issues(
-    spark: SparkSession, checks: Sequence[Check], folder: str, tables: Tables | None = None
+    spark: SparkSession,
+    checks: Sequence[Check],
+    folder: str,
+    tables: Tables | None = None,
+    names: Mapping[str, str] | None = None,
 ) -> Mapping[str, str]:
-    """Issue rows of every check as CSV in `folder`/<check name>, written by the executors.
-    Returns why a check's rows could not be written, for those that failed."""
+    """Issue rows of every check as a CSV folder below `folder`, written by the executors and
+    named by `names` or after the check. Returns why a check's rows could not be written, for
+    those that failed."""
     problems = {}
     for check in checks:
         try:
-            write_csv(issue_rows(spark, check, tables), f"{folder}/{check.name}")
+            write_csv(issue_rows(spark, check, tables), f"{folder}/{(names or {}).get(check.name, check.name)}")
         except Exception as error:  # noqa: BLE001 - a failed export is only a warning
             problems[check.name] = str(error).splitlines()[0]
     return problems

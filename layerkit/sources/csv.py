@@ -37,6 +37,8 @@ def write_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
         .option("header", "true")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .option("escape", '"')
         .option("nullValue", "")
         .option("emptyValue", '""')
