@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from layerkit.session import few_rows
+
 PASS_THRESHOLD = 95.0
 SEVERITY_WEIGHTS = {"critical": 1.0, "high": 0.8, "medium": 0.6, "low": 0.4}
 WORST_FIRST = ("ERROR", "FAIL", "WARNING", "PASS")
@@ -153,6 +155,12 @@ def flat(threshold: float = PASS_THRESHOLD) -> Policy:
     return lambda issues, clean_pct, severity: F.when(clean_pct >= threshold, "PASS").otherwise("FAIL")
 
 
+def two_decimals(x: Column) -> Column:
+    """Nearest two-decimal value of the double as it is stored. (`round` would first take its
+    shortest decimal form, so 48.595, stored a little lower, would become 48.6.)"""
+    return F.call_function("format_number", x, F.lit("0.00")).cast("double")
+
+
 # --- metrics ------------------------------------------------------------------------------
 
 _COUNTS = "check_pos int, total bigint, issues bigint"
@@ -219,7 +227,8 @@ def _results(
     errors: Mapping[int, str],
     policy: Policy,
 ) -> DataFrame:
-    about = spark.createDataFrame(
+    about = few_rows(
+        spark,
         [(p, c.name, c.table, c.severity, c.description, errors.get(p)) for p, c in checks],
         "check_pos int, check_name string, table_name string, severity string, "
         "description string, error string",
@@ -241,8 +250,8 @@ def _results(
     return joined.select(
         "check_pos", "check_name", "table_name", "severity", "description",
         total, issues, clean.alias("clean_records"),
-        F.round(clean_pct, 2).alias("clean_percentage"),
-        F.round(issue_pct, 2).alias("issue_percentage"),
+        two_decimals(clean_pct).alias("clean_percentage"),
+        two_decimals(issue_pct).alias("issue_percentage"),
         status.alias("status"), "error",
     )
 
@@ -256,8 +265,7 @@ def check_results(
     """One row per check, lazily. A check that cannot be planned becomes an ERROR row."""
     numbered = list(enumerate(checks))
     branches, errors = _branches(spark, numbered, tables)
-    empty = spark.createDataFrame([], _COUNTS)
-    counts = reduce(DataFrame.unionByName, branches) if branches else empty
+    counts = reduce(DataFrame.unionByName, branches) if branches else few_rows(spark, [], _COUNTS)
     return _results(spark, numbered, counts, errors, policy or tiered())
 
 
@@ -286,8 +294,8 @@ def run_checks(
                 counts += [tuple(r) for r in reduce(DataFrame.unionByName, alone).collect()]
             except Exception as error:  # noqa: BLE001
                 errors[pos] = _reason(error)
-    rows = _results(spark, numbered, spark.createDataFrame(counts, _COUNTS), errors, policy).collect()
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    rows = _results(spark, numbered, few_rows(spark, counts, _COUNTS), errors, policy).collect()
+    return few_rows(spark, [tuple(r) for r in rows], RESULT_SCHEMA)
 
 
 def run_check(

@@ -9,6 +9,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerkit.session import few_rows
+
+OUTCOME_SCHEMA = "contract string, status string, message string"
+
 
 class ContractError(Exception):
     """Raised by `enforce` when a table breaks its contract."""
@@ -93,9 +97,8 @@ def outcome(rules: DataFrame) -> DataFrame:
 def enforce(df: DataFrame, contract: Contract, path: str | None = None, strict: bool = True) -> DataFrame:
     """Run the contract now, store its outcome as JSON below `path` and, if `strict`, raise
     `ContractError` when it is broken."""
-    spark = df.sparkSession
     result = outcome(check_contract(df, contract))
-    done = spark.createDataFrame(result.collect(), result.schema)
+    done = few_rows(df.sparkSession, [tuple(r) for r in result.collect()], OUTCOME_SCHEMA)
     if path is not None:
         done.coalesce(1).write.mode("overwrite").json(path)
     row = done.first()

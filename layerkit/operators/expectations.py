@@ -107,7 +107,7 @@ def _line(suite, pos, e, success, elements, absent, unexpected, observed, messag
     elements = elements.cast("bigint")
     absent, unexpected = absent.cast("bigint"), unexpected.cast("bigint")
     base = elements - F.coalesce(absent, F.lit(0))
-    percent = F.when(unexpected.isNull(), None).when(base > 0, F.round(unexpected / base * 100, 2)).otherwise(0.0)
+    percent = F.when(unexpected.isNull(), None).when(base > 0, unexpected / base * 100).otherwise(0.0)
     return F.struct(
         F.lit(suite).alias("suite"),
         F.lit(pos).alias("expectation_pos"),
@@ -196,8 +196,4 @@ def run_checkpoint(
     if path is None:
         return results
     results.write.mode("overwrite").json(f"{path}/{run}", ignoreNullFields=False)
-    return df_like(results, f"{path}/{run}")
-
-
-def df_like(df: DataFrame, path: str) -> DataFrame:
-    return df.sparkSession.read.schema(df.schema).json(path)
+    return results.sparkSession.read.schema(results.schema).json(f"{path}/{run}")

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from layerkit.session import new_path
+from layerkit.session import few_rows, new_path
 
 def surrogate_key(
     df: DataFrame,
@@ -20,30 +21,27 @@ def surrogate_key(
     ascending with NULLs last: what `row_number() over (order by ...)` gives, but sorted by
     range partitions over all tasks.
 
-    The sorted rows are written once, to `path` or the shared folder. A row's key is the
-    number of rows in earlier part files plus its index in its own file; both are fixed
-    once the files exist, so re-reading after a lost executor gives the same keys.
-    `tie` should make the order total; it also spreads a frequent `order_by` value over
-    several range partitions.
+    The sorted rows are written once, to `path` or the shared folder, each with the number of
+    its sort partition and its place in there. A row's key is that place plus the rows in
+    earlier partitions; both are fixed once the files exist, so re-reading after a lost
+    executor gives the same keys. `tie` should make the order total; it also spreads a
+    frequent `order_by` value over several partitions.
     """
     spark = df.sparkSession
     path = path or new_path(spark, name)
-    df.orderBy(*[F.col(c).asc_nulls_last() for c in [*order_by, *tie]]).write.parquet(path)
+    ordered = df.orderBy(*[F.col(c).asc_nulls_last() for c in [*order_by, *tie]])
+    # the upper bits of this id are the partition, the lower 33 count its rows from 0
+    ordered.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
 
-    # part files are named part-<task>-<job>-c<piece>.<codec>.parquet
-    file = F.col("_metadata.file_name")
-    rows = spark.read.schema(df.schema).parquet(path).select(
-        "*",
-        F.regexp_extract(file, r"^part-(\d+)-", 1).cast("int").alias("_task"),
-        F.regexp_extract(file, r"-c(\d+)\.", 1).cast("int").alias("_piece"),
-        F.col("_metadata.row_index").alias("_index"),
-    )
-    # one line per part file, at most one file per sort partition
-    sizes = sorted(tuple(r) for r in rows.groupBy("_task", "_piece").count().collect())
+    schema = T.StructType([*df.schema.fields, T.StructField("_row", T.LongType())])
+    rows = spark.read.schema(schema).parquet(path).withColumn("_part", F.shiftright("_row", 33))
+    # one line per sort partition
+    sizes = sorted(tuple(r) for r in rows.groupBy("_part").count().collect())
     before, starts = 0, []
-    for task, piece, size in sizes:
-        starts.append((task, piece, before))
+    for part, size in sizes:
+        starts.append((part, before))
         before += size
-    starts = spark.createDataFrame(starts, "_task int, _piece int, _before bigint")
-    key = (F.col("_before") + F.col("_index") + 1).cast("bigint")
-    return rows.join(F.broadcast(starts), ["_task", "_piece"]).select(key.alias(name), *df.columns)
+    starts = few_rows(spark, starts, "_part bigint, _before bigint")
+    place = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    key = (F.col("_before") + place + 1).alias(name)
+    return rows.join(F.broadcast(starts), "_part").select(key, *df.columns)

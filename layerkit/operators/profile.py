@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerkit.operators.quantiles import ACCURACY, exact_quantiles
+from layerkit.session import few_rows
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 _LONG_TEXT = 64
@@ -37,22 +38,32 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
+def _cell(df: DataFrame, column: str, shorten: bool) -> Column:
+    """A value in the slot of its type, so that numbers are grouped as numbers."""
+    t, value = df.schema[column].dataType, F.col(column)
+    whole = value if isinstance(t, T.IntegralType) else F.lit(None)
+    real = value if isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) else F.lit(None)
+    text = F.lit(None)
+    if not isinstance(t, T.NumericType) or isinstance(t, T.DecimalType):
+        text = (value if isinstance(t, T.AtomicType) else F.to_json(column)).cast("string")
+        if shorten and isinstance(t, T.StringType):
+            digest = F.concat(F.lit("#"), F.sha2(text, 256))
+            text = F.when(F.length(text) > _LONG_TEXT, digest).otherwise(text)
+    return F.struct(
+        F.lit(column).alias("column_name"),
+        whole.cast("bigint").alias("whole"),
+        real.cast("double").alias("real"),
+        text.cast("string").alias("text"),
+    )
+
+
 def value_counts(df: DataFrame, columns: Sequence[str], shorten: bool = False) -> DataFrame:
-    """(column_name, value, n) for every non-NULL value, in one scan with map-side counting.
-    With `shorten`, texts longer than 64 characters are replaced by a digest, which keeps them
-    apart without shuffling whole texts."""
-    pairs = []
-    for c in columns:
-        value = F.col(c)
-        if not isinstance(df.schema[c].dataType, T.AtomicType):
-            value = F.to_json(c)
-        value = value.cast("string")
-        if shorten:
-            digest = F.concat(F.lit("#"), F.sha2(value, 256))
-            value = F.when(F.length(value) > _LONG_TEXT, digest).otherwise(value)
-        pairs.append(F.struct(F.lit(c).alias("column_name"), value.alias("value")))
-    cells = df.select(F.inline(F.array(*pairs))).where("value is not null")
-    return cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    """(column_name, whole, real, text, n) for every non-NULL value, in one scan with map-side
+    counting. With `shorten`, texts longer than 64 characters are replaced by a digest, which
+    keeps them apart without shuffling whole texts."""
+    cells = df.select(F.inline(F.array(*[_cell(df, c, shorten) for c in columns])))
+    cells = cells.where("whole is not null or real is not null or text is not null")
+    return cells.groupBy("column_name", "whole", "real", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _distinct(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -114,7 +125,7 @@ def _quantile_columns(df: DataFrame, columns: Sequence[str], quantiles: Mapping[
     found = exact_quantiles(df, columns, list(quantiles.values()))
     rows = [(c, *[found[c][p] for p in quantiles.values()]) for c in columns]
     schema = "column_name string, " + ", ".join(f"{q} double" for q in quantiles)
-    return df.sparkSession.createDataFrame(rows, schema)
+    return few_rows(df.sparkSession, rows, schema)
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
@@ -170,7 +181,9 @@ def profile_string(df: DataFrame, columns: Sequence[str] | None = None, exact: b
 def profile_top_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
     """The k most frequent values per column, ties by value."""
     order = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc())
-    ranked = value_counts(df, columns).withColumn("rank", F.row_number().over(order))
+    value = F.coalesce(F.col("whole").cast("string"), F.col("real").cast("string"), "text")
+    counts = value_counts(df, columns).select("column_name", value.alias("value"), "n")
+    ranked = counts.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k).select("column_name", "rank", "value", "n")
 
 

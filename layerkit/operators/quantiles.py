@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,35 +24,76 @@ class _Rank:
     before: int = 0
     low: float | None = None
     high: float | None = None
-    guess: tuple = ()
+    guesses: tuple = ()
     value: float | None = None
 
-    def within(self) -> Column:
-        x = F.col(self.column)
-        ok = x.isNotNull()
-        if self.low is not None:
-            ok = ok & (x > F.lit(self.low))
-        if self.high is not None:
-            ok = ok & (x < F.lit(self.high))
-        return F.when(ok, x)
+    @property
+    def interval(self) -> tuple:
+        return self.column, self.low, self.high
 
     def shares(self, accuracy: int) -> list[float]:
         slack = 2 * self.inside // accuracy
         k = self.rank - self.before + 1
         return [(max(1, k - slack) - 0.5) / self.inside, (min(self.inside, k + slack) - 0.5) / self.inside]
 
-    def narrow(self, counts: Sequence[tuple[int, int]]) -> None:
-        """`counts` holds, per guess, how many values are less and how many at most equal."""
-        low, high, before, after = self.low, self.high, self.before, self.before + self.inside
-        for guess, (less, upto) in zip(self.guess, counts):
+    def narrow(self, counts: dict) -> None:
+        """`counts` tells for each guess how many values are less and how many at most equal."""
+        after = self.before + self.inside
+        for guess in self.guesses:
+            less, upto = counts[guess]
             if less <= self.rank < upto:
                 self.value = guess
                 return
-            if upto <= self.rank and upto >= before:
-                low, before = guess, upto
-            if less > self.rank and less <= after:
-                high, after = guess, less
-        self.low, self.high, self.before, self.inside = low, high, before, after - before
+            if self.before <= upto <= self.rank:
+                self.low, self.before = guess, upto
+            elif self.rank < less <= after:
+                self.high, after = guess, less
+        self.inside = after - self.before
+
+
+def _within(column: str, low, high) -> Column:
+    x = F.col(column)
+    ok = x.isNotNull()
+    if low is not None:
+        ok = ok & (x > F.lit(low))
+    if high is not None:
+        ok = ok & (x < F.lit(high))
+    return F.when(ok, x)
+
+
+def _propose(df: DataFrame, ranks: Sequence[_Rank], accuracy: int) -> None:
+    """Set the guesses of all ranks: one sketch per interval, shared by the ranks in it."""
+    groups: dict[tuple, list[_Rank]] = {}
+    for r in ranks:
+        groups.setdefault(r.interval, []).append(r)
+    sketches = [
+        F.percentile_approx(_within(*interval), [p for r in group for p in r.shares(accuracy)], accuracy)
+        for interval, group in groups.items()
+    ]
+    found = df.agg(*[s.alias(f"g{i}") for i, s in enumerate(sketches)]).first()
+    for i, group in enumerate(groups.values()):
+        for j, r in enumerate(group):
+            r.guesses = tuple(dict.fromkeys(found[f"g{i}"][2 * j : 2 * j + 2]))
+
+
+def _count(df: DataFrame, guesses: dict[str, list]) -> dict[str, dict]:
+    """For every guess of every column (less, at most equal). Each value is sent to the gap
+    between guesses, or the guess, it falls on, and these few places are counted."""
+    places = []
+    for column, values in guesses.items():
+        x = F.col(column)
+        steps = [(x >= F.lit(g)).cast("int") + (x > F.lit(g)).cast("int") for g in values]
+        places.append(reduce(lambda a, b: a + b, steps))
+    cells = df.select(F.posexplode(F.array(*places)).alias("which", "place")).where("place is not null")
+    found = {(r["which"], r["place"]): r["count"] for r in cells.groupBy("which", "place").count().collect()}
+    counts: dict[str, dict] = {}
+    for which, (column, values) in enumerate(guesses.items()):
+        counts[column], seen = {}, 0
+        for i, g in enumerate(values):
+            less = seen + found.get((which, 2 * i), 0)
+            seen = less + found.get((which, 2 * i + 1), 0)
+            counts[column][g] = (less, seen)
+    return counts
 
 
 def exact_quantiles(
@@ -65,46 +107,28 @@ def exact_quantiles(
     rows take three or four.
     """
     sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    wanted = {}
+    ranks: dict[tuple, _Rank] = {}
     for c in columns:
-        for p in probabilities:
+        for p in probabilities if sizes[c] else ():
             position = p * (sizes[c] - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                if sizes[c]:
-                    wanted.setdefault((c, rank), _Rank(c, rank, sizes[c]))
-    open_ranks = list(wanted.values())
-    while open_ranks:
-        sketch = df.agg(
-            *[
-                F.percentile_approx(r.within(), r.shares(accuracy), accuracy).alias(f"g{i}")
-                for i, r in enumerate(open_ranks)
-            ]
-        ).first()
-        for i, r in enumerate(open_ranks):
-            r.guess = tuple(dict.fromkeys(sketch[f"g{i}"]))
-        found = df.agg(
-            *[
-                agg
-                for i, r in enumerate(open_ranks)
-                for j, g in enumerate(r.guess)
-                for agg in (
-                    F.count_if(F.col(r.column) < F.lit(g)).alias(f"less{i}_{j}"),
-                    F.count_if(F.col(r.column) <= F.lit(g)).alias(f"upto{i}_{j}"),
-                )
-            ]
-        ).first()
-        for i, r in enumerate(open_ranks):
-            r.narrow([(found[f"less{i}_{j}"], found[f"upto{i}_{j}"]) for j in range(len(r.guess))])
-        open_ranks = [r for r in open_ranks if r.value is None]
+            for rank in (math.floor(position), math.ceil(position)):
+                ranks.setdefault((c, rank), _Rank(c, rank, sizes[c]))
+    pending = list(ranks.values())
+    while pending:
+        _propose(df, pending, accuracy)
+        guesses: dict[str, set] = {}
+        for r in pending:
+            guesses.setdefault(r.column, set()).update(r.guesses)
+        counts = _count(df, {c: sorted(g) for c, g in guesses.items()})
+        for r in pending:
+            r.narrow(counts[r.column])
+        pending = [r for r in pending if r.value is None]
 
     result: dict[str, dict[float, float | None]] = {}
     for c in columns:
-        result[c] = {}
-        for p in probabilities:
-            if not sizes[c]:
-                result[c][p] = None
-                continue
+        result[c] = dict.fromkeys(probabilities)
+        for p in probabilities if sizes[c] else ():
             position = p * (sizes[c] - 1)
-            low, high = (float(wanted[c, f(position)].value) for f in (math.floor, math.ceil))
+            low, high = (float(ranks[c, f(position)].value) for f in (math.floor, math.ceil))
             result[c][p] = low + (high - low) * (position - math.floor(position))
     return result

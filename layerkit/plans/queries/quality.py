@@ -246,7 +246,7 @@ def results_sql(status, checks=CHECKS, first=0):
     )
     return f"""SELECT check_pos, check_name, table_name, severity, description, total_records, issues_found,
           total_records - issues_found AS clean_records,
-          round(clean_pct, 2) AS clean_percentage, round(issue_pct, 2) AS issue_percentage, {status} AS status
+          CAST(printf('%.2f', clean_pct) AS DOUBLE) AS clean_percentage, CAST(printf('%.2f', issue_pct) AS DOUBLE) AS issue_percentage, {status} AS status
         FROM (SELECT *, CASE WHEN total_records > 0 THEN (total_records - issues_found) / total_records * 100 ELSE 0.0 END AS clean_pct,
                      CASE WHEN total_records > 0 THEN issues_found / total_records * 100 ELSE 0.0 END AS issue_pct
               FROM ({counted}) c) m"""

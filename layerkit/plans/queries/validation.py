@@ -150,7 +150,7 @@ def _suites_sql(groups, families=False, extra=""):
     return f"""SELECT suite, expectation_pos, expectation, column_name, success, element_count, missing_count,
           unexpected_count,
           CASE WHEN unexpected_count IS NULL THEN NULL
-               WHEN element_count - missing_count > 0 THEN round(unexpected_count / (element_count - missing_count) * 100, 2)
+               WHEN element_count - missing_count > 0 THEN unexpected_count / (element_count - missing_count) * 100
                ELSE 0.0 END AS unexpected_percent,
           observed, message{extra}
         FROM ({lines}) l"""

@@ -15,6 +15,7 @@ from layerkit.operators.profile import profile_layer
 from layerkit.operators.report import write_issues, write_report, write_summary
 from layerkit.plans import gold, quality, silver
 from layerkit.plans.schemas import BRONZE, GOLD, SILVER, SOURCE_FILES
+from layerkit.session import few_rows
 from layerkit.sources.csv import read_csv
 from layerkit.sources.tables import create_layers, create_table, write_table
 
@@ -128,7 +129,7 @@ class Warehouse:
             log.append((run, pos, step, state, dt.datetime.now(), message))
 
         def stored() -> DataFrame:
-            rows = self.spark.createDataFrame(log, LOG_SCHEMA)
+            rows = few_rows(self.spark, log, LOG_SCHEMA)
             rows.coalesce(1).write.mode("overwrite").parquet(self.artifacts("runs", run))
             return rows
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def local_session(cores: int | str = "*", app: str = "layerkit", **conf: str) -> SparkSession:
@@ -46,5 +49,9 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def join_path(*parts: str) -> str:
-    return os.path.join(*parts)
+def few_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """DataFrame of rows the driver already holds, planned as a local relation."""
+    layout = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [[] for _ in layout]
+    arrays = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, layout)]
+    return spark.createDataFrame(pa.table(arrays, names=layout.names), layout)

@@ -61,6 +61,13 @@ def test_metrics_of_two_issues_in_a_hundred(spark, table):
     assert (one.total_checks, one.passed_checks, one.overall_status) == (1, 1, "PASS")
 
 
+def test_percentages_round_the_stored_double(spark):
+    values = [48.595, 80.605, 51.405, 0.125, 0.375, 99.995, 100.0, 1e-9, -1234.565] + [i / 6 for i in range(600)]
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = [r.y for r in df.select("x", C.two_decimals(F.col("x")).alias("y")).collect()]
+    assert got == [round(v, 2) for v in values]
+
+
 def test_duplicates_count_keys_with_null_as_one(spark, table):
     check = C.DuplicateCheck(name="dup", table="t", keys=["k"])
     row = C.run_checks(spark, [check], {"t": table}).first()
