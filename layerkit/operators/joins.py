@@ -78,6 +78,7 @@ def left_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
     salts: int = SALTS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """LEFT OUTER equi-join keeping every row of `left` and every match in `right`, fan-out
     included. Column names of the two sides must differ; both sides' columns are returned.
@@ -86,13 +87,15 @@ def left_join(
     rows of `left` with a frequent or NULL key are spread over `salts` tasks, the matching
     rows of `right` being repeated. A key frequent in `right` is joined on its own, with
     `right` spread and the rows of `left` repeated; it is known to match, so that part is an
-    inner join.
+    inner join. Frequent keys of `left` are looked for in `hot_from` if given: the table
+    `left_key` comes from, which saves running a `left` that is itself a join once more.
     """
     size = size_in_bytes(right)
     if size is not None and size <= broadcast_bytes:
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
     heavy = hot_values(right, right_key, hot_share)
-    hot = [v for v in hot_values(left, left_key, hot_share) if v not in heavy]
+    hot = hot_values(left if hot_from is None else hot_from, left_key, hot_share)
+    hot = [v for v in hot if v not in heavy]
     if not heavy:
         return _salted(left, right, left_key, right_key, hot, "left", salts)
     usual = _salted(

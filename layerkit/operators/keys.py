@@ -21,17 +21,19 @@ def surrogate_key(
     ascending with NULLs last: what `row_number() over (order by ...)` gives, but sorted by
     range partitions over all tasks.
 
-    The sorted rows are written once, to `path` or the shared folder, each with the number of
+    The sorted rows are written once, to a new place in the shared folder or to `path`,
+    replacing what is there, each with the number of
     its sort partition and its place in there. A row's key is that place plus the rows in
     earlier partitions; both are fixed once the files exist, so re-reading after a lost
     executor gives the same keys. `tie` should make the order total; it also spreads a
     frequent `order_by` value over several partitions.
     """
     spark = df.sparkSession
+    mode = "error" if path is None else "overwrite"
     path = path or new_path(spark, name)
     ordered = df.orderBy(*[F.col(c).asc_nulls_last() for c in [*order_by, *tie]])
     # the upper bits of this id are the partition, the lower 33 count its rows from 0
-    ordered.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    ordered.withColumn("_row", F.monotonically_increasing_id()).write.mode(mode).parquet(path)
 
     schema = T.StructType([*df.schema.fields, T.StructField("_row", T.LongType())])
     rows = spark.read.schema(schema).parquet(path).withColumn("_part", F.shiftright("_row", 33))

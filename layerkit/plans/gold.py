@@ -11,11 +11,15 @@ from layerkit.operators.joins import left_join
 from layerkit.operators.keys import surrogate_key
 
 
-def dim_customers(customers: DataFrame, demographics: DataFrame, locations: DataFrame) -> DataFrame:
-    """A key appearing twice in the ERP tables yields two rows; the uniqueness checks report it."""
+def dim_customers(
+    customers: DataFrame, demographics: DataFrame, locations: DataFrame, staging: str | None = None
+) -> DataFrame:
+    """A key appearing twice in the ERP tables yields two rows; the uniqueness checks report it.
+    `staging` is where the key operator keeps its sorted rows."""
     birth = demographics.select(F.col("cid").alias("birth_cid"), "bdate", "gen")
     place = locations.select(F.col("cid").alias("place_cid"), "cntry")
-    joined = left_join(left_join(customers, birth, "cst_key", "birth_cid"), place, "cst_key", "place_cid")
+    joined = left_join(customers, birth, "cst_key", "birth_cid")
+    joined = left_join(joined, place, "cst_key", "place_cid", hot_from=customers)
     rows = joined.select(
         F.col("cst_id").alias("customer_id"),
         F.col("cst_key").alias("customer_number"),
@@ -28,10 +32,10 @@ def dim_customers(customers: DataFrame, demographics: DataFrame, locations: Data
         F.col("cst_create_date").alias("create_date"),
     )
     ties = [c for c in rows.columns if c != "customer_id"]
-    return surrogate_key(rows, ["customer_id"], ties, "customer_key")
+    return surrogate_key(rows, ["customer_id"], ties, "customer_key", staging)
 
 
-def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
+def dim_products(products: DataFrame, categories: DataFrame, staging: str | None = None) -> DataFrame:
     kinds = categories.select(F.col("id").alias("kind_id"), "cat", "subcat", "maintenance")
     joined = left_join(current_rows(products, "prd_end_dt"), kinds, "cat_id", "kind_id")
     rows = joined.select(
@@ -48,7 +52,7 @@ def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     )
     order = ["start_date", "product_number"]
     ties = [c for c in rows.columns if c not in order]
-    return surrogate_key(rows, order, ties, "product_key")
+    return surrogate_key(rows, order, ties, "product_key", staging)
 
 
 def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
@@ -56,7 +60,7 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
     product = products.select("product_number", "product_key")
     customer = customers.select("customer_id", "customer_key")
     joined = left_join(sales, product, "sls_prd_key", "product_number")
-    joined = left_join(joined, customer, "sls_cust_id", "customer_id")
+    joined = left_join(joined, customer, "sls_cust_id", "customer_id", hot_from=sales)
     return joined.select(
         F.col("sls_ord_num").alias("order_number"),
         "product_key",
@@ -75,6 +79,6 @@ def orphaned_facts(fact: DataFrame, products: DataFrame, customers: DataFrame) -
     customer = customers.select(F.col("customer_key").alias("c_key"), "customer_id")
     product = products.select(F.col("product_key").alias("p_key"), "product_id")
     joined = left_join(fact.select("order_number", "customer_key", "product_key"), customer, "customer_key", "c_key")
-    joined = left_join(joined, product, "product_key", "p_key")
+    joined = left_join(joined, product, "product_key", "p_key", hot_from=fact)
     lost = F.col("customer_id").isNull() | F.col("product_id").isNull()
     return joined.where(lost).select("order_number", "customer_key", "product_key", "customer_id", "product_id")

@@ -42,7 +42,7 @@ def orphans(fact, products, customers):
     product = products.select(F.col("product_key").alias("p_key"), "product_id")
     customer = customers.select(F.col("customer_key").alias("c_key"), "customer_id")
     joined = left_join(fact.select("order_number", "line", "customer_key", "product_key"), product, "product_key", "p_key")
-    joined = left_join(joined, customer, "customer_key", "c_key")
+    joined = left_join(joined, customer, "customer_key", "c_key", hot_from=fact)
     return joined.where("customer_id IS NULL OR product_id IS NULL").drop("p_key", "c_key")
 
 

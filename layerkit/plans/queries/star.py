@@ -24,7 +24,7 @@ def gold_dim_customer(spark, sf):
     nation = table(spark, sf, "nation")
     region = table(spark, sf, "region")
     joined = left_join(customer, nation, "c_nationkey", "n_nationkey")
-    joined = left_join(joined, region, "n_regionkey", "r_regionkey")
+    joined = left_join(joined, region, "n_regionkey", "r_regionkey", hot_from=nation)
     segment = F.when(F.col("c_mktsegment") == "FURNITURE", "n/a").otherwise(F.col("c_mktsegment"))
     rows = joined.select(
         F.col("c_custkey").alias("customer_id"),
@@ -61,8 +61,11 @@ def sales(spark, sf):
 
 
 def fact(spark, sf, products, customers):
-    joined = left_join(sales(spark, sf), products.select("product_id", "product_key"), "l_partkey", "product_id")
-    joined = left_join(joined, customers.select("customer_id", "customer_key"), "o_custkey", "customer_id")
+    product = products.select("product_id", "product_key")
+    customer = customers.select("customer_id", "customer_key")
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    joined = left_join(sales(spark, sf), product, "l_partkey", "product_id", hot_from=lines)
+    joined = left_join(joined, customer, "o_custkey", "customer_id", hot_from=orders)
     return joined.select(
         F.col("l_orderkey").alias("order_number"),
         F.col("l_linenumber").alias("line"),

@@ -70,8 +70,12 @@ class Warehouse:
     def load_gold(self) -> None:
         """Dimensions first: their keys are fixed once stored, so fact and checks agree."""
         s = {name: self.table(f"silver.{name}") for name in SILVER}
-        customers = gold.dim_customers(s["crm_cust_info"], s["erp_cust_az12"], s["erp_loc_a101"])
-        products = gold.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"])
+        customers = gold.dim_customers(
+            s["crm_cust_info"], s["erp_cust_az12"], s["erp_loc_a101"], f"{self.root}/staging/dim_customers"
+        )
+        products = gold.dim_products(
+            s["crm_prd_info"], s["erp_px_cat_g1v2"], f"{self.root}/staging/dim_products"
+        )
         customers = write_table(customers, self.root, "gold.dim_customers", GOLD["dim_customers"].fieldNames())
         products = write_table(products, self.root, "gold.dim_products", GOLD["dim_products"].fieldNames())
         write_table(gold.fact_sales(s["crm_sales_details"], products, customers), self.root, "gold.fact_sales")
@@ -90,7 +94,8 @@ class Warehouse:
         results = run_checks(self.spark, wanted, self.table, self.policy)
         write_summary(results, self.artifacts(f"{layer}_quality_summary"))
         write_report(results, layer, self.artifacts(f"{layer}_quality_report"), self.detailed_report)
-        write_issues(self.spark, wanted, self.artifacts("issues"), self.table, quality.ISSUE_FILES)
+        clean = {r.check_name for r in results.collect() if r.error is None and r.issues_found == 0}
+        write_issues(self.spark, wanted, self.artifacts("issues"), self.table, quality.ISSUE_FILES, clean)
         alerts(results).write.mode("overwrite").json(self.artifacts(f"{layer}_alerts"))
         return results
 

@@ -34,7 +34,7 @@ def local_session(cores: int | str = "*", app: str = "layerkit", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by `spark.checkpoint.dir`. Only a
     local master may go without: it gets a temporary folder, set for the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
