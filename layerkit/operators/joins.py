@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.01
 SALTS = 32
+BUCKETS = 4096
 
 _VARIABLE = (T.StringType, T.BinaryType)
 
@@ -28,19 +29,20 @@ def size_in_bytes(df: DataFrame) -> int | None:
 
 
 def hot_values(df: DataFrame, column: str, share: float = HOT_SHARE) -> list:
-    """Values holding more than `share` of the rows, at most 1/share of them. Candidates come
-    from a sketch of bounded memory and are then counted, so only the one column is read and
-    nothing is shuffled per distinct value. Steers how rows are spread, never what is returned.
+    """Values holding more than `share` of the rows, at most 1/share of them.
+
+    One pass over the column counts hash buckets. Only if a bucket is that full are its values
+    counted, in a second pass; so nothing is shuffled per distinct value of the whole column.
     """
     keys = df.select(column)
-    found = keys.where(F.col(column).isNotNull()).stat.freqItems([column], share).first()[0]
-    candidates = [v for v in found if v is not None]
-    if not candidates:
+    bucket = F.when(F.col(column).isNotNull(), F.pmod(F.xxhash64(column), F.lit(BUCKETS)))
+    sizes = keys.groupBy(bucket.alias("bucket")).count().collect()
+    floor = share * sum(r["count"] for r in sizes)
+    full = [r["bucket"] for r in sizes if r["bucket"] is not None and r["count"] > floor]
+    if not full:
         return []
-    bucket = F.when(F.col(column).isin(candidates), F.col(column))
-    counts = keys.groupBy(bucket.alias("value")).count().collect()
-    floor = share * sum(r["count"] for r in counts)
-    return [r["value"] for r in counts if r["value"] is not None and r["count"] > floor]
+    counts = keys.where(bucket.isin(full)).groupBy(column).count()
+    return [r[0] for r in counts.where(F.col("count") > floor).collect()]
 
 
 def _spread(df: DataFrame, salts: int) -> Column:

@@ -141,10 +141,11 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None, exact:
             "n_zeros": F.count_if(x == 0), "n_negative": F.count_if(x < 0),
         }
         if not exact:
-            for q, p in QUANTILES.items():
-                measures[c][q] = F.percentile_approx(x, p, ACCURACY)
+            measures[c]["sketch"] = F.percentile_approx(x, list(QUANTILES.values()), ACCURACY)
     stats = _per_column(df, columns, measures, exact)
-    if exact:
+    if not exact:
+        stats = stats.withColumns({q: F.col("sketch")[i] for i, q in enumerate(QUANTILES)}).drop("sketch")
+    else:
         values = _quantile_columns(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), columns, QUANTILES)
         stats = stats.join(F.broadcast(values), "column_name")
     return stats.select(
@@ -178,6 +179,20 @@ def profile_string(df: DataFrame, columns: Sequence[str] | None = None, exact: b
     return stats
 
 
+def profile_dates(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """First and last value of the date and timestamp columns, and the days between them."""
+    columns = list(columns or [f.name for f in df.schema.fields if _kind(f.dataType) == "date"])
+    if not columns:
+        raise ValueError("no date columns to profile")
+    measures = {}
+    for c in columns:
+        at = F.col(c).cast("timestamp_ntz")
+        measures[c] = {"min": F.min(at), "max": F.max(at)}
+    stats = _per_column(df, columns, measures, exact)
+    days = F.datediff(F.col("max").cast("date"), F.col("min").cast("date"))
+    return stats.withColumn("range_days", days)
+
+
 def profile_top_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
     """The k most frequent values per column, ties by value."""
     order = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc())

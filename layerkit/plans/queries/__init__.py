@@ -1,8 +1,8 @@
 """Operators applied to the given test tables, with the equivalent SQL of each query."""
 
-from layerkit.plans.queries import cleanse, observe, profiles, quality, star, validation
+from layerkit.plans.queries import cleanse, observe, profiles, quality, retail, star, validation
 
-_MODULES = (cleanse, star, quality, validation, profiles, observe)
+_MODULES = (cleanse, star, quality, validation, profiles, observe, retail)
 
 
 def all_queries() -> dict:

@@ -23,12 +23,13 @@ TOP = 5
 
 def _rounded(df):
     doubles = {f.name for f in df.schema.fields if f.dataType.simpleString() == "double"}
-    return df.select(*[F.round(c, 6).alias(c) if c in doubles else F.col(c) for c in df.columns])
+    return df.select(*[F.round(c, 7).alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
 QUERIES = {
     "profile_numeric": lambda spark, sf: _rounded(P.profile_numeric(table(spark, sf, "lineitem"), NUMBERS)),
     "profile_string": lambda spark, sf: _rounded(P.profile_string(table(spark, sf, "documents"), TEXTS)),
+    "profile_dates": lambda spark, sf: _rounded(P.profile_dates(table(spark, sf, "orders"))),
     "profile_top_values": lambda spark, sf: P.profile_top_values(table(spark, sf, "lineitem"), CODES, TOP),
     "profile_table": lambda spark, sf: _rounded(P.profile_layer({t: table(spark, sf, t) for t in TABLES})),
     "profile_overview": lambda spark, sf: _rounded(P.profile_overview(labelled_documents(spark, sf))),
@@ -37,30 +38,30 @@ QUERIES = {
 
 def _common_sql(column, kind):
     return f"""'{column}' AS column_name, '{kind}' AS kind, count(*) AS n, count(*) - count({column}) AS n_missing,
-        round((count(*) - count({column})) / count(*), 6) AS p_missing,
-        count(DISTINCT {column}) AS n_distinct, round(count(DISTINCT {column}) / count({column}), 6) AS p_distinct,
+        round((count(*) - count({column})) / count(*), 7) AS p_missing,
+        count(DISTINCT {column}) AS n_distinct, round(count(DISTINCT {column}) / count({column}), 7) AS p_distinct,
         count(DISTINCT {column}) = count({column}) AND count({column}) > 0 AS is_unique"""
 
 
 def _numeric_sql(c):
     x = f"CAST({c} AS DOUBLE)"
-    quantiles = ", ".join(f"round(quantile_cont({x}, {p}), 6) AS {q}" for q, p in P.QUANTILES.items())
+    quantiles = ", ".join(f"round(quantile_cont({x}, {p}), 7) AS {q}" for q, p in P.QUANTILES.items())
     return f"""SELECT {_common_sql(c, 'numeric')},
-        round(min({x}), 6) AS min, round(max({x}), 6) AS max, round(avg({x}), 6) AS mean,
-        round(stddev_samp({x}), 6) AS std,
+        round(min({x}), 7) AS min, round(max({x}), 7) AS max, round(avg({x}), 7) AS mean,
+        round(stddev_samp({x}), 7) AS std,
         count(CASE WHEN {c} = 0 THEN 1 END) AS n_zeros, count(CASE WHEN {c} < 0 THEN 1 END) AS n_negative,
-        {quantiles}, round(max({x}) - min({x}), 6) AS range,
-        round(quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25), 6) AS iqr,
-        round(count(CASE WHEN {c} = 0 THEN 1 END) / count(*), 6) AS p_zeros,
-        round(count(CASE WHEN {c} < 0 THEN 1 END) / count(*), 6) AS p_negative
+        {quantiles}, round(max({x}) - min({x}), 7) AS range,
+        round(quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25), 7) AS iqr,
+        round(count(CASE WHEN {c} = 0 THEN 1 END) / count(*), 7) AS p_zeros,
+        round(count(CASE WHEN {c} < 0 THEN 1 END) / count(*), 7) AS p_negative
         FROM lineitem"""
 
 
 def _string_sql(c):
     return f"""SELECT {_common_sql(c, 'text')},
         CAST(min(length({c})) AS INTEGER) AS min_length, CAST(max(length({c})) AS INTEGER) AS max_length,
-        round(avg(length({c})), 6) AS mean_length, count(CASE WHEN length({c}) = 0 THEN 1 END) AS n_empty,
-        round(quantile_cont(CAST(length({c}) AS DOUBLE), 0.5), 6) AS median_length
+        round(avg(length({c})), 7) AS mean_length, count(CASE WHEN length({c}) = 0 THEN 1 END) AS n_empty,
+        round(quantile_cont(CAST(length({c}) AS DOUBLE), 0.5), 7) AS median_length
         FROM documents"""
 
 
@@ -70,6 +71,9 @@ def _top_sql(c):
 
 
 SQL = {
+    "profile_dates": f"""SELECT {_common_sql("o_orderdate", "date")},
+        min(o_orderdate) AS min, max(o_orderdate) AS max,
+        CAST(date_diff('day', min(o_orderdate), max(o_orderdate)) AS INTEGER) AS range_days FROM orders""",
     "profile_numeric": " UNION ALL ".join(_numeric_sql(c) for c in NUMBERS),
     "profile_string": " UNION ALL ".join(_string_sql(c) for c in TEXTS),
     "profile_top_values": f"SELECT * FROM ({' UNION ALL '.join(_top_sql(c) for c in CODES)}) t WHERE rank <= {TOP}",
@@ -79,7 +83,7 @@ SQL = {
         for c in columns
     ),
     "profile_overview": """
-        SELECT n, CAST(5 AS BIGINT) AS n_var, missing AS n_cells_missing, round(missing / (n * 5), 6) AS p_cells_missing,
+        SELECT n, CAST(5 AS BIGINT) AS n_var, missing AS n_cells_missing, round(missing / (n * 5), 7) AS p_cells_missing,
                CAST((q > 0)::INT + (t > 0)::INT AS BIGINT) AS n_vars_with_missing,
                CAST((q = n)::INT + (t = n)::INT AS BIGINT) AS n_vars_all_missing,
                CAST(3 AS BIGINT) AS n_numeric, CAST(0 AS BIGINT) AS n_date, CAST(2 AS BIGINT) AS n_text,

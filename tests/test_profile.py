@@ -13,14 +13,14 @@ from layerkit.operators.profile import (
 from layerkit.operators.quantiles import exact_quantiles
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_exact_quantiles_equal_numpy(spark, accuracy):
+@pytest.mark.parametrize("accuracy, sample", [(20, 10**6), (10_000, 10**6), (10_000, 300)])
+def test_exact_quantiles_equal_numpy(spark, accuracy, sample):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"a": rng.normal(size=5_000), "b": rng.integers(0, 4, 5_000).astype(float)})
     pdf.loc[::3, "b"] = 2.0
     df = spark.createDataFrame(pdf).withColumn("c", F.when(F.col("a") > 0, F.col("a")))
     probabilities = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
-    got = exact_quantiles(df.repartition(7), ["a", "b", "c"], probabilities, accuracy)
+    got = exact_quantiles(df.repartition(7), ["a", "b", "c"], probabilities, accuracy, sample)
     for c, values in {"a": pdf.a, "b": pdf.b, "c": pdf.a[pdf.a > 0]}.items():
         assert [got[c][p] for p in probabilities] == pytest.approx(np.quantile(values, probabilities))
 
