@@ -21,22 +21,26 @@ def surrogate_key(
     ascending with NULLs last: what `row_number() over (order by ...)` gives, but sorted by
     range partitions over all tasks.
 
-    The sorted rows are written once, to a new place in the shared folder or to `path`,
-    replacing what is there, each with the number of
-    its sort partition and its place in there. A row's key is that place plus the rows in
-    earlier partitions; both are fixed once the files exist, so re-reading after a lost
-    executor gives the same keys. `tie` should make the order total; it also spreads a
-    frequent `order_by` value over several partitions.
+    The rows are stored with a running id before they are sorted, in the shared folder or
+    below `path`, replacing what is there. The id is the last sort column: it splits copies of
+    one row, however many, over several partitions, and being stored it does not change when a
+    task is repeated. The sorted rows are stored with the number of their sort partition and
+    their place in there; a row's key is that place plus the rows in earlier partitions.
+    Re-reading after a lost executor thus gives the same keys. `tie` decides between rows equal
+    in `order_by`.
     """
     spark = df.sparkSession
     mode = "error" if path is None else "overwrite"
     path = path or new_path(spark, name)
-    ordered = df.orderBy(*[F.col(c).asc_nulls_last() for c in [*order_by, *tie]])
+    df.withColumn("_at", F.monotonically_increasing_id()).write.mode(mode).parquet(f"{path}/rows")
+    schema = T.StructType([*df.schema.fields, T.StructField("_at", T.LongType())])
+    stored = spark.read.schema(schema).parquet(f"{path}/rows")
+    ordered = stored.orderBy(*[F.col(c).asc_nulls_last() for c in [*order_by, *tie, "_at"]]).drop("_at")
     # the upper bits of this id are the partition, the lower 33 count its rows from 0
-    ordered.withColumn("_row", F.monotonically_increasing_id()).write.mode(mode).parquet(path)
+    ordered.withColumn("_row", F.monotonically_increasing_id()).write.mode(mode).parquet(f"{path}/sorted")
 
     schema = T.StructType([*df.schema.fields, T.StructField("_row", T.LongType())])
-    rows = spark.read.schema(schema).parquet(path).withColumn("_part", F.shiftright("_row", 33))
+    rows = spark.read.schema(schema).parquet(f"{path}/sorted").withColumn("_part", F.shiftright("_row", 33))
     # one line per sort partition
     sizes = sorted(tuple(r) for r in rows.groupBy("_part").count().collect())
     before, starts = 0, []

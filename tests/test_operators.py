@@ -81,6 +81,20 @@ def test_surrogate_key_survives_split_part_files(spark):
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
 
 
+def test_surrogate_key_spreads_copies_of_one_row(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+        got = surrogate_key(df, ["k"], [], "sk")
+        assert got.agg(F.count_distinct("sk"), F.min("sk"), F.max("sk")).first()[:] == (40_000, 1, 40_000)
+        files = got.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        assert files < 40_000 / 5
+        keys = [r.k for r in got.orderBy("sk").collect()]
+        assert keys == sorted(keys)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_surrogate_key_of_nothing(spark):
     assert surrogate_key(skewed(spark, 10).where("id < 0"), ["k"], ["id"]).collect() == []
 
