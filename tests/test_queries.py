@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as driver
+from layerkit.operators import joins
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -54,3 +55,17 @@ def test_query_equals_sql(spark, sf, duck, name):
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.count() > 0 and "customer_key" in df.columns
+
+
+@pytest.mark.parametrize("name", ["gold_fact", "retail_fact_sales", "dq_orphan_facts", "dq_orphan_anti"])
+def test_query_equals_sql_when_nothing_is_small_enough_to_broadcast(spark, sf, duck, name, monkeypatch):
+    for join in (joins.left_join, joins.left_anti_join):
+        monkeypatch.setitem(join.__kwdefaults__, "broadcast_bytes", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES[name](spark, sf)
+        got = bag(df.columns, df.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    answer = duck.execute(SQL[name])
+    assert got == bag([d[0] for d in answer.description], answer.fetchall())
