@@ -92,6 +92,9 @@ def left_join(
     inner join. Frequent keys of `left` are looked for in `hot_from` if given: the table
     `left_key` comes from, which saves running a `left` that is itself a join once more.
     """
+    shared = set(left.columns) & set(right.columns)
+    if shared:
+        raise ValueError(f"both sides have columns {sorted(shared)}")
     size = size_in_bytes(right)
     if size is not None and size <= broadcast_bytes:
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")

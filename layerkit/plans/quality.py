@@ -26,7 +26,7 @@ MARITAL = ("Single", "Married", "n/a")
 GENDERS = ("Female", "Male", "n/a")
 LINES = ("Mountain", "Road", "Other Sales", "Touring", "n/a")
 
-# check names, severities and reported columns are fixed values
+# check names, descriptions, severities and reported columns are fixed values
 SILVER_CHECKS = (
     DuplicateCheck(
         name="customer_duplicates", table="silver.crm_cust_info", keys=["cst_id"], severity="high",

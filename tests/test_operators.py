@@ -148,6 +148,17 @@ def test_left_anti_join_equals_plain_join(spark, limit):
     assert rows(got) == rows(left.join(right, left.k == right.rk, "left_anti"))
 
 
+def test_left_join_refuses_shared_column_names(spark):
+    with pytest.raises(ValueError, match="id"):
+        left_join(spark.range(3), spark.range(3), "id", "id")
+
+
+def test_hot_values_are_the_frequent_ones(spark):
+    df = skewed(spark)
+    assert hot_values(df, "k") == [7]
+    assert hot_values(df, "id") == [] and hot_values(df.where("id < 0"), "k") == []
+
+
 def test_size_in_bytes_measures_strings(spark):
     df = spark.createDataFrame([("abcd", 1), (None, 2)], "s string, i int")
     assert size_in_bytes(df) == 2 * 16 + 4
