@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 0.01
-SALTS = 32
 BUCKETS = 4096
 
 _VARIABLE = (T.StringType, T.BinaryType)
@@ -28,8 +27,9 @@ def size_in_bytes(df: DataFrame) -> int | None:
     return df.agg(F.coalesce(F.sum(per_row), F.lit(0)).cast("bigint")).first()[0]
 
 
-def hot_values(df: DataFrame, column: str, share: float = HOT_SHARE) -> list:
-    """Values holding more than `share` of the rows, at most 1/share of them.
+def hot_values(df: DataFrame, column: str, share: float) -> dict:
+    """Values holding more than `share` of the rows, at most 1/share of them, with their share,
+    the greatest first.
 
     One pass over the column counts hash buckets. Only if a bucket is that full are its values
     counted, in a second pass; so nothing is shuffled per distinct value of the whole column.
@@ -37,36 +37,65 @@ def hot_values(df: DataFrame, column: str, share: float = HOT_SHARE) -> list:
     keys = df.select(column)
     bucket = F.when(F.col(column).isNotNull(), F.pmod(F.xxhash64(column), F.lit(BUCKETS)))
     sizes = keys.groupBy(bucket.alias("bucket")).count().collect()
-    floor = share * sum(r["count"] for r in sizes)
-    full = [r["bucket"] for r in sizes if r["bucket"] is not None and r["count"] > floor]
+    total = sum(r["count"] for r in sizes)
+    full = [r["bucket"] for r in sizes if r["bucket"] is not None and r["count"] > share * total]
     if not full:
-        return []
+        return {}
     counts = keys.where(bucket.isin(full)).groupBy(column).count()
-    return [r[0] for r in counts.where(F.col("count") > floor).collect()]
+    found = counts.where(F.col("count") > share * total).orderBy(F.desc("count")).collect()
+    return {value: n / total for value, n in found}
 
 
-def _spread(df: DataFrame, salts: int) -> Column:
-    """Salt that depends on the row alone, so a recomputed task repeats it."""
-    columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+def _partitions(df: DataFrame) -> int:
+    conf = df.sparkSession.conf
+    first = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(first or conf.get("spark.sql.shuffle.partitions"))
+
 
+def _hot_salts(df: DataFrame, key: str, share: float | None) -> dict:
+    """How many tasks each frequent value of `key` is spread over: enough that a task gets about
+    an even share of the rows. Values count as frequent from twice that share on. The salts add
+    up to no more than the shuffle partitions plus the number of values, so repeating the other
+    side's matching rows that often stays small."""
+    partitions = _partitions(df)
+    share = max(2 / partitions, 4 / BUCKETS) if share is None else share
+    return {v: max(2, math.ceil(s * partitions)) for v, s in hot_values(df, key, share).items()}
 
-def _is_hot(key: str, hot: Sequence) -> Column:
+
+def _is_hot(key: str, hot: Mapping) -> Column:
     return F.coalesce(F.col(key).isin(list(hot)), F.lit(False)) if hot else F.lit(False)
 
 
-def _copies(key: str, hot: Sequence, salts: int) -> Column:
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    return F.explode(F.when(_is_hot(key, hot), every).otherwise(F.array(F.lit(0))))
+def _salts_of(df: DataFrame, key: str, hot: Mapping) -> Column:
+    """Number of salts of a hot key; the map is searched from the most frequent value on."""
+    if not hot:
+        return F.lit(1)
+    t = df.schema[key].dataType
+    pairs = [c for v, n in hot.items() for c in (F.lit(v).cast(t), F.lit(n))]
+    return F.element_at(F.create_map(*pairs), F.col(key))
+
+
+def _scattered(df: DataFrame, key: str, hot: Mapping, name: str) -> DataFrame:
+    """Add the salt of each row: a hash of the row alone, so a repeated task repeats it, for hot
+    and NULL keys and 0 for others."""
+    columns = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row = F.xxhash64(*columns)
+    salt = F.when(F.col(key).isNull(), F.pmod(row, F.lit(_partitions(df))))
+    salt = salt.when(_is_hot(key, hot), F.pmod(row, _salts_of(df, key, hot)))
+    return df.withColumn(name, salt.otherwise(0).cast("int"))
+
+
+def _copied(df: DataFrame, key: str, hot: Mapping, name: str) -> DataFrame:
+    """Repeat the rows of hot keys once per salt."""
+    every = F.sequence(F.lit(0), _salts_of(df, key, hot) - 1)
+    return df.withColumn(name, F.explode(F.when(_is_hot(key, hot), every).otherwise(F.array(F.lit(0)))))
 
 
 def _salted(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: Sequence, how: str,
-    salts: int,
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: Mapping, how: str
 ) -> DataFrame:
-    scatter = F.col(left_key).isNull() | _is_hot(left_key, hot)
-    left = left.withColumn("_salt", F.when(scatter, _spread(left, salts)).otherwise(0))
-    right = right.withColumn("_copy", _copies(right_key, hot, salts))
+    left = _scattered(left, left_key, hot, "_salt")
+    right = _copied(right, right_key, hot, "_copy")
     on = (left[left_key] == right[right_key]) & (left["_salt"] == right["_copy"])
     return left.join(right, on, how).drop("_salt", "_copy")
 
@@ -78,16 +107,15 @@ def left_join(
     right_key: str,
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
+    hot_share: float | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """LEFT OUTER equi-join keeping every row of `left` and every match in `right`, fan-out
     included. Column names of the two sides must differ; both sides' columns are returned.
 
     `right` is broadcast only if its measured size is at most `broadcast_bytes`. Otherwise
-    rows of `left` with a frequent or NULL key are spread over `salts` tasks, the matching
-    rows of `right` being repeated. A key frequent in `right` is joined on its own, with
+    rows of `left` with a frequent or NULL key are spread over several tasks, the matching rows
+    of `right` being repeated. A key frequent in `right` is joined on its own, with
     `right` spread and the rows of `left` repeated; it is known to match, so that part is an
     inner join. Frequent keys of `left` are looked for in `hot_from` if given: the table
     `left_key` comes from, which saves running a `left` that is itself a join once more.
@@ -98,19 +126,17 @@ def left_join(
     size = size_in_bytes(right)
     if size is not None and size <= broadcast_bytes:
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
-    heavy = hot_values(right, right_key, hot_share)
-    hot = hot_values(left if hot_from is None else hot_from, left_key, hot_share)
-    hot = [v for v in hot if v not in heavy]
+    heavy = _hot_salts(right, right_key, hot_share)
+    hot = _hot_salts(left if hot_from is None else hot_from, left_key, hot_share)
+    hot = {v: n for v, n in hot.items() if v not in heavy}
     if not heavy:
-        return _salted(left, right, left_key, right_key, hot, "left", salts)
+        return _salted(left, right, left_key, right_key, hot, "left")
     usual = _salted(
-        left.where(~_is_hot(left_key, heavy)),
-        right.where(~_is_hot(right_key, heavy)),
-        left_key, right_key, hot, "left", salts,
+        left.where(~_is_hot(left_key, heavy)), right.where(~_is_hot(right_key, heavy)),
+        left_key, right_key, hot, "left",
     )
-    few = left.where(_is_hot(left_key, heavy)).withColumn("_copy", _copies(left_key, heavy, salts))
-    many = right.where(_is_hot(right_key, heavy))
-    many = many.withColumn("_salt", _spread(many, salts))
+    few = _copied(left.where(_is_hot(left_key, heavy)), left_key, heavy, "_copy")
+    many = _scattered(right.where(_is_hot(right_key, heavy)), right_key, heavy, "_salt")
     on = (few[left_key] == many[right_key]) & (few["_copy"] == many["_salt"])
     return usual.unionByName(few.join(many, on, "inner").drop("_salt", "_copy"))
 
@@ -122,8 +148,7 @@ def left_anti_join(
     right_key: str,
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Rows of `left` whose key is NULL or not in `right`. Repeats in `right` are removed by a
     pre-aggregated distinct, so only `left` can be skewed; its frequent keys are spread."""
@@ -131,5 +156,5 @@ def left_anti_join(
     size = size_in_bytes(right)
     if size is not None and size <= broadcast_bytes:
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left_anti")
-    hot = hot_values(left, left_key, hot_share)
-    return _salted(left, right, left_key, right_key, hot, "left_anti", salts)
+    hot = _hot_salts(left, left_key, hot_share)
+    return _salted(left, right, left_key, right_key, hot, "left_anti")

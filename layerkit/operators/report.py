@@ -27,7 +27,8 @@ def _text(label: str, value: Column, suffix: str = "") -> Column:
 def report_lines(results: DataFrame, layer: str, generated: Column | None = None, detailed: bool = True) -> DataFrame:
     """The text report as (section, line_no, line), to be ordered by both: a header, a block
     per check in catalogue order and, if `detailed`, description, severity, error and an
-    overall summary. `generated` is a formatted time for the header."""
+    overall summary. `generated` is a formatted time for the header. The results are read more
+    than once, so they should come from `run_checks`."""
     empty = F.lit("")
     head = [
         F.lit(f"Quality Report for {layer.upper()} Layer"),

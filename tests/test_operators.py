@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from layerkit.operators.dedupe import current_rows, keep_latest
-from layerkit.operators.joins import hot_values, left_anti_join, left_join, size_in_bytes
+from layerkit.operators.joins import _hot_salts, hot_values, left_anti_join, left_join, size_in_bytes
 from layerkit.operators.keys import surrogate_key
 
 
@@ -117,11 +117,21 @@ def test_left_join_with_a_key_frequent_on_the_right(spark):
         F.col("id").alias("rid"),
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 0, None).otherwise(F.col("id")).alias("rk"),
     )
-    assert 7 in hot_values(right, "rk")
+    assert list(hot_values(right, "rk", 0.1)) == [7]
     got = left_join(left, right, "k", "rk", broadcast_bytes=0)
     assert rows(got) == rows(left.join(right, left.k == right.rk, "left"))
 
 
+def test_left_join_with_text_keys_frequent_on_both_sides(spark):
+    def side(n, prefix):
+        key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 5 == 0, f"{prefix}only").otherwise(F.col("id").cast("string"))
+        return spark.range(n).select(F.col("id").alias(f"{prefix}id"), key.alias(f"{prefix}k"))
+
+    left, right = side(240, "l"), side(300, "r")
+    got = left_join(left, right, "lk", "rk", broadcast_bytes=0, hot_share=0.05)
+    assert rows(got) == rows(left.join(right, left.lk == right.rk, "left"))
+
+
 def test_left_join_spreads_frequent_and_null_keys(spark):
     old = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -155,8 +165,19 @@ def test_left_join_refuses_shared_column_names(spark):
 
 def test_hot_values_are_the_frequent_ones(spark):
     df = skewed(spark)
-    assert hot_values(df, "k") == [7]
-    assert hot_values(df, "id") == [] and hot_values(df.where("id < 0"), "k") == []
+    assert hot_values(df, "k", 0.01) == {7: pytest.approx(1 / 3, abs=0.01)}
+    assert hot_values(df, "id", 0.01) == {} and hot_values(df.where("id < 0"), "k", 0.01) == {}
+
+
+@pytest.mark.parametrize("partitions, salts", [("8", 3), ("600", 201)])
+def test_salts_grow_with_the_shuffle_partitions(spark, partitions, salts):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    df = skewed(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        assert _hot_salts(df, "k", None) == {7: salts}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def test_size_in_bytes_measures_strings(spark):
