@@ -238,6 +238,12 @@ class WordEncoder:
         return ids, np.diff(edges[limits])
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> WordEncoder:
+    """The encoder of this worker process, which its tasks share one after the other."""
+    return WordEncoder(_tokenizer(path))
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int = END) -> tuple[np.ndarray, np.ndarray]:
     """The ids with `end` after each document."""
     return np.insert(ids, np.cumsum(counts), end).astype(np.uint32), counts + 1
@@ -254,7 +260,7 @@ def write_files(
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(_tokenizer(tokenizer))
+        encoder = _encoder(tokenizer)
         shard = TaskContext.get().partitionId()
         writer, path = None, f"{target}/ids-{shard:06d}-{uuid.uuid4().hex}.bin"
         for batch in batches:
