@@ -1,8 +1,8 @@
 """Stupid-backoff language-model scores from n-gram tables partitioned by hash.
 
 Texts are gathered into chunks. A chunk's distinct n-grams, with their counts there, are exploded into
-blocks by the upper bits of the n-gram's hash; blocks of the same bits meet in one task, which
-is one partition of the count table. The table's counts are joined back to every block and so
+blocks by their length and the upper bits of their hash; blocks of the same bits meet in one task,
+which is one partition of the count table. The table's counts are joined back to every block and so
 to its chunk, where scores are summed per document. What is shuffled are packed runs of
 sorted hashes and counts, not rows per n-gram; a frequent n-gram is one entry per chunk.
 
@@ -22,17 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerkit.llm.common import WORD, column, utf8
-from layerkit.llm.words import chained, mixed, places, sums, word_hashes
+from layerkit.llm.words import chained, places, sums, word_hashes
 
 ORDER = 3
 BACKOFF = 0.4
 #: Bytes of text in a chunk.
-CHUNK = 6 << 20
+CHUNK = 12 << 20
 #: n-grams a partition of the count table holds on average.
 PARTITION = 1 << 22
 _CHUNKS = "chunk bigint, ids binary, texts binary"
-_BLOCKS = "part int, chunk bigint, grams binary, counts binary"
-_REPLIES = "chunk bigint, part int, counts binary"
+_BLOCKS = "part bigint, chunk bigint, grams binary, counts binary"
+_REPLIES = "chunk bigint, part bigint, counts binary"
 
 
 def _squeezed(values: np.ndarray) -> bytes:
@@ -67,8 +67,7 @@ def grams(texts: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray],
         before[ends[-1]] = hashes[-1]
         hashes.append(chained(before[end - 1], words[end]))
         ends.append(end)
-    salted = [mixed(h + np.uint64(n)) for n, h in enumerate(hashes)]
-    return counts, salted, ends
+    return counts, hashes, ends
 
 
 def _packed(ids: pa.Array, texts: list[bytes]) -> tuple[bytes, bytes]:
@@ -123,22 +122,28 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
 
 
 def _blocks(gathered: DataFrame, order: int, bits: int) -> DataFrame:
+    """Rows (part, chunk, grams, counts); the number of a part has the n-gram's length above `bits`
+    bits of its hash."""
+
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 _, hashes, _ = grams(_unpacked(r["texts"], len(_ids(r["ids"]))), order)
-                values, counts = np.unique(np.concatenate(hashes), return_counts=True)
-                part = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
-                edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(values))
-                for a, b in zip(edges[:-1], edges[1:]) if len(values) else ():
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([part[a]], pa.int32()), pa.array([r["chunk"]]),
-                            pa.array([_sorted_bytes(values[a:b])], pa.binary()),
-                            pa.array([_squeezed(counts[a:b])], pa.binary()),
-                        ],
-                        names=["part", "chunk", "grams", "counts"],
-                    )
+                for n in range(order):
+                    yield from of_length(n, r["chunk"], hashes[n])
+
+    def of_length(n: int, chunk: int, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        values, counts = np.unique(hashes, return_counts=True)
+        part = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
+        edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(values))
+        for a, b in zip(edges[:-1], edges[1:]) if len(values) else ():
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([(n << bits) + part[a]], pa.int64()), pa.array([chunk]),
+                    pa.array([_sorted_bytes(values[a:b])], pa.binary()), pa.array([_squeezed(counts[a:b])], pa.binary()),
+                ],
+                names=["part", "chunk", "grams", "counts"],
+            )
 
     return gathered.mapInArrow(explode, _BLOCKS)
 
@@ -164,31 +169,27 @@ def _own(which: np.ndarray, owner: np.ndarray, several: int) -> np.ndarray:
 
 
 def log_scores(texts: list[bytes], seen, total: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words and summed log score of each text. `seen(hashes)` gives counts in all texts, `total`
-    is the number of all words. An unseen word counts as half an occurrence."""
+    """Words and summed log score of each text. `seen(n, hashes)` gives the counts of distinct
+    n-grams, in ascending order of hash, in all texts; `total` is the number of all words. An
+    unseen word counts as half an occurrence."""
     counts, hashes, ends = grams(texts, order)
     n_words = int(counts.sum())
     if not n_words:
         return counts, np.zeros(len(counts))
     owner = np.repeat(np.arange(len(texts)), counts)
-    everything = np.concatenate(hashes)
-    values, which = np.unique(everything, return_inverse=True)
-    owners = np.concatenate([owner[e] for e in ends])
-    others = seen(values)[which] - _own(which, owners, len(values))
-    rest = np.maximum(total - counts, 1)[owner]
-    edges = np.cumsum([0] + [len(h) for h in hashes])
-    below = np.zeros(n_words, np.int64)
-    score = np.zeros(n_words)
+    below = score = np.zeros(n_words)
     for n in range(order):
+        values, which = np.unique(hashes[n], return_inverse=True)
+        hashes[n] = None
+        others = seen(n, values)[which] - _own(which, owner[ends[n]], len(values))
         here = np.zeros(n_words, np.int64)
-        here[ends[n]] = others[edges[n] : edges[n + 1]]
+        here[ends[n]] = others
         if n == 0:
+            rest = np.maximum(total - counts, 1)[owner]
             score = np.log(np.where(here > 0, here, 0.5) / rest)
         else:
-            known = ends[n][here[ends[n]] > 0]
-            longer = np.zeros(n_words, bool)
-            longer[ends[n]] = True
-            score = score + np.where(longer, np.log(BACKOFF), 0.0)
+            score[ends[n]] += np.log(BACKOFF)
+            known = ends[n][others > 0]
             score[known] = np.log(here[known] / below[known - 1])
         below = here
     return counts, sums(score, counts)
@@ -206,7 +207,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
         F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD)).cast("bigint")), F.lit(0)).alias("words")
     ).first()["words"]
     several = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = (max(several, volume * order // PARTITION) - 1).bit_length()
+    bits = (max(several, volume // PARTITION) - 1).bit_length()
     gathered = chunks(rows).repartition(several, "chunk")
     asked = _blocks(gathered, order, bits)
     replies = asked.groupBy("part").applyInArrow(_counted, _REPLIES)
@@ -216,13 +217,15 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
 
     def summed(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         kept = []
-        parts = answers.sort_by("part")["counts"]
-        known = np.concatenate([_unsqueezed(c.as_py()) for c in parts]).astype(np.int64) if len(parts) else None
+        answers = answers.sort_by("part")
+        length = answers["part"].to_numpy() >> bits
 
-        def seen(values: np.ndarray) -> np.ndarray:
-            if known is None or len(values) != len(known):
+        def seen(n: int, values: np.ndarray) -> np.ndarray:
+            own = answers["counts"].filter(pa.array(length == n))
+            known = [_unsqueezed(c.as_py()).astype(np.int64) for c in own]
+            if sum(map(len, known)) != len(values):
                 raise ValueError("counts of other n-grams than the chunk's")
-            return known
+            return np.concatenate(known) if known else np.zeros(0, np.int64)
 
         for r in chunk.to_pylist():
             ids = _ids(r["ids"])
