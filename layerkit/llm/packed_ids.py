@@ -15,6 +15,7 @@ commits, count, so repeated or lost tasks leave no wrong file behind.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
@@ -182,41 +183,80 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+_LETTERS = re.compile(rb"[a-z]+")
+_TAIL = b".,;:!?)*$%&#|"
+
+
+def _core(word: bytes) -> tuple[bytes, bytes]:
+    """A run between white space as what it starts with and the marks it ends with, whose ids are
+    those of both. Marks after an ASCII letter always start a token of their own; runs that could
+    hold the name of a special token stay whole. ASCII is lower-cased, as the tokenizer does."""
+    if b"<|" in word:
+        return word, b""
+    core = word.rstrip(_TAIL)
+    if not core or not (core[-1:].isalpha()):
+        core = word
+    tail = word[len(core) :]
+    return (core.lower() if core.isascii() else core), tail
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer of the tokenizers library that never joins characters across
-    white space: every run between white space is encoded once and looked up after that. The table
-    of known runs is emptied when full, which changes nothing but the time."""
+    """Ids of texts by a tokenizer of the tokenizers library that lower-cases and never joins
+    characters across white space, nor letters with other marks: every run between white space is
+    encoded once and looked up after that. The tables are emptied when full, which changes
+    nothing but the time."""
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
+        self.final = np.zeros(tokenizer.get_vocab_size(), bool)
+        for token, number in tokenizer.get_vocab().items():
+            self.final[number] = token.endswith("</w>")
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
+        self.pieces: dict[bytes, int] = {b"": 0}
         self.ends = np.zeros(1 << 12, np.int64)
-        self.size = 0
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.known: dict[bytes, int] = {}
+        self.parts = np.zeros((1 << 12, 2), np.int32)
+
+    def _add(self, pieces: list[bytes], ids: Sequence[int], ends: np.ndarray) -> None:
+        """Note the ids of new pieces: all one after the other, and where each one's end."""
+        k = len(self.pieces)
+        used = int(self.ends[k])
+        self.flat = _room(self.flat, used + len(ids))
+        self.ends = _room(self.ends, k + len(pieces) + 1)
+        self.flat[used : used + len(ids)] = ids
+        self.ends[k + 1 : k + 1 + len(pieces)] = used + ends
+        self.pieces.update(zip(pieces, range(k, k + len(pieces))))
+
+    def _encode_pieces(self, pieces: list[bytes]) -> None:
+        """Many pieces are encoded in one text. One of letters alone is one word to the tokenizer, and
+        ends with the first token that ends a word; else a token belongs to the piece it starts in."""
+        plain = [c for c in pieces if _LETTERS.fullmatch(c)]
+        other = [c for c in pieces if not _LETTERS.fullmatch(c)]
+        for part in (plain[i : i + 2048] for i in range(0, len(plain), 2048)):
+            text = b" ".join(part).decode()
+            ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            ends = np.flatnonzero(self.final[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer doesn't keep words of letters whole")
+            self._add(part, ids, ends)
+        for part in (other[i : i + 2048] for i in range(0, len(other), 2048)):
+            words = [c.decode() for c in part]
+            encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            starts = np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 0]
+            after = np.cumsum([len(w) + 1 for w in words])
+            self._add(part, encoding.ids, np.searchsorted(starts, after))
 
     def _learn(self, new: list[bytes]) -> None:
-        """Encode unknown runs, many of them in one text; a token belongs to the run it starts in."""
-        several = [new[i : i + 2048] for i in range(0, len(new), 2048)]
-        texts = [[w.decode() for w in part] for part in several]
-        found = self.tokenizer.encode_batch([" ".join(t) for t in texts], add_special_tokens=False)
-        for part, words, encoding in zip(several, texts, found):
-            sizes = np.fromiter(map(len, words), np.int64, len(words))
-            begins = np.cumsum(sizes + 1) - sizes - 1
-            offsets = np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 0]
-            ids = np.array(encoding.ids, np.uint32)
-            ends = np.searchsorted(offsets, np.append(begins[1:], np.iinfo(np.int64).max))
-            while self.size + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            k = len(self.known)
-            while k + len(part) >= len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.flat[self.size : self.size + len(ids)] = ids
-            self.ends[k + 1 : k + 1 + len(part)] = self.size + ends
-            self.size += len(ids)
-            self.known.update(zip(part, range(k, k + len(part))))
+        split = [part for word in new for part in _core(word)]
+        self._encode_pieces([p for p in dict.fromkeys(split) if p not in self.pieces])
+        k = len(self.known)
+        self.parts = _room(self.parts, k + len(new))
+        pairs = np.fromiter(map(self.pieces.__getitem__, split), np.int32, len(split))
+        self.parts[k : k + len(new)] = pairs.reshape(-1, 2)
+        self.known.update(zip(new, range(k, k + len(new))))
 
     def encode(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's ids."""
@@ -228,14 +268,25 @@ class WordEncoder:
         which = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(which < 0)
         if len(unknown):
-            self._learn(list(dict.fromkeys(words[i] for i in unknown)))
-            which[unknown] = [self.known[words[i]] for i in unknown]
-        starts = self.ends[which]
-        each = self.ends[which + 1] - starts
+            missing = [words[i] for i in unknown]
+            self._learn(list(dict.fromkeys(missing)))
+            which[unknown] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(missing))
+        pieces = self.parts[which].reshape(-1)
+        starts = self.ends[pieces]
+        each = self.ends[pieces + 1] - starts
         edges = np.concatenate([[0], np.cumsum(each)])
         ids = self.flat[np.arange(edges[-1]) + np.repeat(starts - edges[:-1], each)]
         limits = np.concatenate([[0], np.cumsum(counts)])
-        return ids, np.diff(edges[limits])
+        return ids, np.diff(edges[2 * limits])
+
+
+def _room(held: np.ndarray, size: int) -> np.ndarray:
+    """An array at least that long that starts like `held`."""
+    if size <= len(held):
+        return held
+    more = np.zeros((max(size, 2 * len(held)), *held.shape[1:]), held.dtype)
+    more[: len(held)] = held
+    return more
 
 
 @lru_cache(maxsize=2)
