@@ -15,12 +15,11 @@ commits, count, so repeated or lost tasks leave no wrong file behind.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain, pairwise, repeat
+from itertools import chain, compress, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +29,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerkit.llm.common import column, stored, text_slices
+from layerkit.llm.words import tokens
 from layerkit.session import new_path
 
 END = 1
 BLOCK = 1 << 16
 MAGIC = 0x314449_4B504C
 _TRAILER = 64
-_KNOWN = 1 << 20
+_KNOWN = 1 << 21
 MANIFEST = "shard int, path string, n_ids bigint, n_docs bigint"
 
 
@@ -183,7 +183,6 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-_LETTERS = re.compile(rb"[a-z]+")
 _TAIL = b".,;:!?)*$%&#|"
 
 
@@ -191,20 +190,22 @@ def _core(word: bytes) -> tuple[bytes, bytes]:
     """A run between white space as what it starts with and the marks it ends with, whose ids are
     those of both. Marks after an ASCII letter always start a token of their own; runs that could
     hold the name of a special token stay whole. ASCII is lower-cased, as the tokenizer does."""
+    plain = word.isascii()
+    if plain and word.isalpha():
+        return word.lower(), b""
     if b"<|" in word:
         return word, b""
     core = word.rstrip(_TAIL)
-    if not core or not (core[-1:].isalpha()):
+    if not core[-1:].isalpha():
         core = word
-    tail = word[len(core) :]
-    return (core.lower() if core.isascii() else core), tail
+    return (core.lower() if plain else core), word[len(core) :]
 
 
 class WordEncoder:
     """Ids of texts by a tokenizer of the tokenizers library that lower-cases and never joins
     characters across white space, nor letters with other marks: every run between white space is
-    encoded once and looked up after that. The tables are emptied when full, which changes
-    nothing but the time."""
+    encoded once and looked up after that, by its 64-bit hash, length, first and last byte. The
+    tables are emptied when full, which changes nothing but the time."""
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
@@ -217,8 +218,9 @@ class WordEncoder:
         self.pieces: dict[bytes, int] = {b"": 0}
         self.ends = np.zeros(1 << 12, np.int64)
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.known: dict[bytes, int] = {}
-        self.parts = np.zeros((1 << 12, 2), np.int32)
+        self.known = np.zeros(1, np.uint64)
+        self.check = np.zeros(1, np.int64)
+        self.parts = np.zeros((1, 2), np.int32)
 
     def _add(self, pieces: list[bytes], ids: Sequence[int], ends: np.ndarray) -> None:
         """Note the ids of new pieces: all one after the other, and where each one's end."""
@@ -231,17 +233,24 @@ class WordEncoder:
         self.pieces.update(zip(pieces, range(k, k + len(pieces))))
 
     def _encode_pieces(self, pieces: list[bytes]) -> None:
-        """Many pieces are encoded in one text. One of letters alone is one word to the tokenizer, and
+        """Many pieces are encoded in one text. One of letters alone is one word to the tokenizer and
         ends with the first token that ends a word; else a token belongs to the piece it starts in."""
-        plain = [c for c in pieces if _LETTERS.fullmatch(c)]
-        other = [c for c in pieces if not _LETTERS.fullmatch(c)]
-        for part in (plain[i : i + 2048] for i in range(0, len(plain), 2048)):
+        plain, other = [], []
+        for piece in pieces:
+            (plain if piece.isalpha() else other).append(piece)
+        # nothing changes or splits lower-case ASCII letters, so they can go to the model at once
+        found = [[t.id for t in self.tokenizer.model.tokenize(p.decode())] for p in plain]
+        self._add(plain, list(chain.from_iterable(found)), np.cumsum([len(f) for f in found], dtype=np.int64))
+        letters = [p.decode().isalpha() for p in other]
+        accented, other = list(compress(other, letters)), [p for p, ok in zip(other, letters) if not ok]
+        for part in (accented[i : i + 2048] for i in range(0, len(accented), 2048)):
             text = b" ".join(part).decode()
             ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
             ends = np.flatnonzero(self.final[ids]) + 1
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer doesn't keep words of letters whole")
-            self._add(part, ids, ends)
+            if len(ends) == len(part):
+                self._add(part, ids, ends)
+            else:  # what is a letter depends on the version of Unicode
+                other += part
         for part in (other[i : i + 2048] for i in range(0, len(other), 2048)):
             words = [c.decode() for c in part]
             encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
@@ -249,34 +258,39 @@ class WordEncoder:
             after = np.cumsum([len(w) + 1 for w in words])
             self._add(part, encoding.ids, np.searchsorted(starts, after))
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> np.ndarray:
+        """Numbers of the two pieces of each run."""
         split = [part for word in new for part in _core(word)]
         self._encode_pieces([p for p in dict.fromkeys(split) if p not in self.pieces])
-        k = len(self.known)
-        self.parts = _room(self.parts, k + len(new))
-        pairs = np.fromiter(map(self.pieces.__getitem__, split), np.int32, len(split))
-        self.parts[k : k + len(new)] = pairs.reshape(-1, 2)
-        self.known.update(zip(new, range(k, k + len(new))))
+        return np.fromiter(map(self.pieces.__getitem__, split), np.int32, len(split)).reshape(-1, 2)
 
     def encode(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's ids."""
         if len(self.known) > _KNOWN:
             self._clear()
-        split = [text.split() for text in texts]
-        words = list(chain.from_iterable(split))
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        which = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        unknown = np.flatnonzero(which < 0)
-        if len(unknown):
-            missing = [words[i] for i in unknown]
-            self._learn(list(dict.fromkeys(missing)))
-            which[unknown] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(missing))
-        pieces = self.parts[which].reshape(-1)
+        data = b" ".join(texts)
+        hashes, first, end = tokens(data)
+        limits = np.searchsorted(first, np.cumsum([0] + [len(t) + 1 for t in texts]))
+        values, index, which = np.unique(hashes, return_index=True, return_inverse=True)
+        begin, stop = first[index], end[index]
+        codes = np.frombuffer(data, np.uint8)
+        check = (stop - begin) << 16 | codes[begin].astype(np.int64) << 8 | codes[stop - 1]
+        at = np.minimum(np.searchsorted(self.known, values), len(self.known) - 1)
+        same = self.known[at] == values
+        parts = self.parts[at]
+        new = np.flatnonzero(~same | (self.check[at] != check))
+        if len(new):
+            parts[new] = self._learn([data[a:b] for a, b in zip(begin[new].tolist(), stop[new].tolist())])
+            fresh = new[~same[new]]
+            place = np.searchsorted(self.known, values[fresh])
+            self.known = np.insert(self.known, place, values[fresh])
+            self.check = np.insert(self.check, place, check[fresh])
+            self.parts = np.insert(self.parts, place, parts[fresh], axis=0)
+        pieces = parts[which].reshape(-1)
         starts = self.ends[pieces]
         each = self.ends[pieces + 1] - starts
         edges = np.concatenate([[0], np.cumsum(each)])
         ids = self.flat[np.arange(edges[-1]) + np.repeat(starts - edges[:-1], each)]
-        limits = np.concatenate([[0], np.cumsum(counts)])
         return ids, np.diff(edges[2 * limits])
 
 

@@ -89,22 +89,28 @@ def word_hashes(texts: Sequence[bytes], classes: np.ndarray = SPACED) -> tuple[n
     return (np.concatenate(found) if found else np.zeros(0, np.uint64)), counts
 
 
-def _of_run(run: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    data = np.frombuffer(b" ".join(run) + b" ", np.uint8)
-    kind = classes[data]
+def tokens(data: bytes, classes: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first place and end of every token of `data`."""
+    codes = np.frombuffer(data, np.uint8)
+    if not len(codes):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kind = classes[codes]
     edge = np.flatnonzero(kind[1:] != kind[:-1]) + 1
     first = np.concatenate([[0], edge])
-    end = np.append(edge, len(data))
-    tokens = kind[first] > 0
-    first, end = first[tokens], end[tokens]
-    width = 1 << max(20, int(len(data) - 1).bit_length())
-    up, down = _powers(width)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+    end = np.append(edge, len(codes))
+    inside = kind[first] > 0
+    first, end = first[inside], end[inside]
+    up, down = _powers(1 << max(20, int(len(codes) - 1).bit_length()))
+    total = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=total[1:])
     hashes = mixed((total[end] - total[first]) * down[first] + (end - first).astype(np.uint64))
+    return hashes, first, end
+
+
+def _of_run(run: list[bytes], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    hashes, first, _ = tokens(b" ".join(run), classes)
     limits = np.cumsum([len(p) + 1 for p in run])
-    each = np.diff(np.searchsorted(first, limits), prepend=0)
-    return hashes, each
+    return hashes, np.diff(np.searchsorted(first, limits), prepend=0)
 
 
 def places(counts: np.ndarray) -> np.ndarray:
