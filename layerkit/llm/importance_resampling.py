@@ -39,8 +39,8 @@ def hashed_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 def count_grams(docs: DataFrame, good: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """n-grams per bucket over all `docs` (doc_id, text) and over those with an id in `good`
     (distinct `good_id`). Tasks count into arrays; their sums meet by bucket, and the driver
-    gets one row per bucket."""
-    named = docs.join(good, docs["doc_id"] == good["good_id"], "left")
+    gets one row per bucket. The ids grow with the corpus, so the join is by shuffle at every size."""
+    named = docs.join(good.hint("merge"), docs["doc_id"] == good["good_id"], "left")
     named = named.select("text", F.col("good_id").isNotNull().alias("good"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
