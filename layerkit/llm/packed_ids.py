@@ -37,6 +37,7 @@ BLOCK = 1 << 16
 MAGIC = 0x314449_4B504C
 _TRAILER = 64
 _KNOWN = 1 << 21
+_SLICE = 2 << 20
 MANIFEST = "shard int, path string, n_ids bigint, n_docs bigint"
 
 
@@ -204,8 +205,9 @@ def _core(word: bytes) -> tuple[bytes, bytes]:
 class WordEncoder:
     """Ids of texts by a tokenizer of the tokenizers library that lower-cases and never joins
     characters across white space, nor letters with other marks: every run between white space is
-    encoded once and looked up after that, by its 64-bit hash, length, first and last byte. The
-    tables are emptied when full, which changes nothing but the time."""
+    encoded once and looked up after that, by its 64-bit hash, length, first and last byte, so a
+    table of a million runs takes some 50 MB. The tables are emptied when full, which changes
+    nothing but the time."""
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
@@ -215,32 +217,35 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.pieces: dict[bytes, int] = {b"": 0}
-        self.ends = np.zeros(1 << 12, np.int64)
+        self.n_pieces = 1
+        self.pieces = np.array([hash(b"")])
+        self.numbers = np.zeros(1, np.int32)
+        self.ends = np.zeros(1 << 12, np.int32)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.known = np.zeros(1, np.uint64)
         self.check = np.zeros(1, np.int64)
         self.parts = np.zeros((1, 2), np.int32)
 
-    def _add(self, pieces: list[bytes], ids: Sequence[int], ends: np.ndarray) -> None:
+    def _add(self, ids: Sequence[int], ends: np.ndarray) -> None:
         """Note the ids of new pieces: all one after the other, and where each one's end."""
-        k = len(self.pieces)
-        used = int(self.ends[k])
+        used, n = int(self.ends[self.n_pieces]), len(ends)
         self.flat = _room(self.flat, used + len(ids))
-        self.ends = _room(self.ends, k + len(pieces) + 1)
+        self.ends = _room(self.ends, self.n_pieces + n + 1)
         self.flat[used : used + len(ids)] = ids
-        self.ends[k + 1 : k + 1 + len(pieces)] = used + ends
-        self.pieces.update(zip(pieces, range(k, k + len(pieces))))
+        self.ends[self.n_pieces + 1 : self.n_pieces + 1 + n] = used + ends
+        self.n_pieces += n
 
-    def _encode_pieces(self, pieces: list[bytes]) -> None:
-        """Many pieces are encoded in one text. One of letters alone is one word to the tokenizer and
-        ends with the first token that ends a word; else a token belongs to the piece it starts in."""
+    def _encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The pieces in the order they are numbered. Many are encoded in one text. One of letters alone is
+        one word to the tokenizer and ends with the first token that ends a word; else a token
+        belongs to the piece it starts in."""
         plain, other = [], []
         for piece in pieces:
             (plain if piece.isalpha() else other).append(piece)
         # nothing changes or splits lower-case ASCII letters, so they can go to the model at once
         found = [[t.id for t in self.tokenizer.model.tokenize(p.decode())] for p in plain]
-        self._add(plain, list(chain.from_iterable(found)), np.cumsum([len(f) for f in found], dtype=np.int64))
+        self._add(list(chain.from_iterable(found)), np.cumsum([len(f) for f in found], dtype=np.int64))
+        done = plain
         letters = [p.decode().isalpha() for p in other]
         accented, other = list(compress(other, letters)), [p for p, ok in zip(other, letters) if not ok]
         for part in (accented[i : i + 2048] for i in range(0, len(accented), 2048)):
@@ -248,7 +253,8 @@ class WordEncoder:
             ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
             ends = np.flatnonzero(self.final[ids]) + 1
             if len(ends) == len(part):
-                self._add(part, ids, ends)
+                self._add(ids, ends)
+                done += part
             else:  # what is a letter depends on the version of Unicode
                 other += part
         for part in (other[i : i + 2048] for i in range(0, len(other), 2048)):
@@ -256,13 +262,28 @@ class WordEncoder:
             encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
             starts = np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 0]
             after = np.cumsum([len(w) + 1 for w in words])
-            self._add(part, encoding.ids, np.searchsorted(starts, after))
+            self._add(encoding.ids, np.searchsorted(starts, after))
+            done += part
+        return done
 
     def _learn(self, new: list[bytes]) -> np.ndarray:
-        """Numbers of the two pieces of each run."""
+        """Numbers of the two pieces of each run; pieces are known by a 64-bit hash."""
         split = [part for word in new for part in _core(word)]
-        self._encode_pieces([p for p in dict.fromkeys(split) if p not in self.pieces])
-        return np.fromiter(map(self.pieces.__getitem__, split), np.int32, len(split)).reshape(-1, 2)
+        values, index, which = np.unique(
+            np.fromiter(map(hash, split), np.int64, len(split)), return_index=True, return_inverse=True
+        )
+        at = np.searchsorted(self.pieces, values)
+        missing = np.flatnonzero(self.pieces[np.minimum(at, len(self.pieces) - 1)] != values)
+        if len(missing):
+            first = self.n_pieces
+            order = self._encode_pieces([split[i] for i in index[missing].tolist()])
+            added = np.fromiter(map(hash, order), np.int64, len(order))
+            sort = np.argsort(added)
+            place = np.searchsorted(self.pieces, added[sort])
+            self.pieces = np.insert(self.pieces, place, added[sort])
+            self.numbers = np.insert(self.numbers, place, first + sort)
+            at = np.searchsorted(self.pieces, values)
+        return self.numbers[at][which].reshape(-1, 2)
 
     def encode(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's ids."""
@@ -287,7 +308,7 @@ class WordEncoder:
             self.check = np.insert(self.check, place, check[fresh])
             self.parts = np.insert(self.parts, place, parts[fresh], axis=0)
         pieces = parts[which].reshape(-1)
-        starts = self.ends[pieces]
+        starts = self.ends[pieces].astype(np.int64)
         each = self.ends[pieces + 1] - starts
         edges = np.concatenate([[0], np.cumsum(each)])
         ids = self.flat[np.arange(edges[-1]) + np.repeat(starts - edges[:-1], each)]
@@ -329,7 +350,7 @@ def write_files(
         shard = TaskContext.get().partitionId()
         writer, path = None, f"{target}/ids-{shard:06d}-{uuid.uuid4().hex}.bin"
         for batch in batches:
-            for start, run in text_slices(batch.column(1)):
+            for start, run in text_slices(batch.column(1), _SLICE):
                 if writer is None:
                     store, place = _opened(path)
                     store.create_dir(os.path.dirname(place), recursive=True)
