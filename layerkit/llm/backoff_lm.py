@@ -212,7 +212,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     asked = _blocks(gathered, order, bits)
     replies = asked.groupBy("part").applyInArrow(_counted, _REPLIES)
     schema = rows.select(
-        "doc_id", F.lit(0).cast("bigint").alias("n_words"), F.lit(0.0).alias("log_score"), F.lit(0.0).alias("mean_log")
+        "doc_id", F.lit(0).cast("bigint").alias("n_words"), F.lit(0.0).alias("log_score"),
+        F.lit(None).cast("double").alias("mean_log"),
     ).schema
 
     def summed(chunk: pa.Table, answers: pa.Table) -> pa.Table:

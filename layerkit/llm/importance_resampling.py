@@ -22,8 +22,6 @@ from layerkit.llm.words import WORDPUNCT, chained, places, sums, word_hashes
 
 BUCKETS = 10_000
 REFERENCE = 128
-#: Part of all documents that is kept.
-SHARE = 0.5
 _DIGIT = 16
 
 
@@ -130,10 +128,11 @@ def place_of(rows: DataFrame, rank: int) -> int | None:
 
 def resample(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id",
-    quality: str = "quality", share: float = SHARE, seed: int = 0,
+    quality: str = "quality", share: float | None = None, seed: int = 0,
 ) -> DataFrame:
     """One row per document: `doc_id`, `n_grams`, `log_weight`, `key`, `kept`. The `share` of all
-    documents with the largest keys is kept, and whatever ties with the last of them.
+    documents with the largest keys is kept, and whatever ties with the last of them; without a
+    given one, the share of quality 1 among the labels, or all documents if there are none.
 
     A document is a target if any label of its id has quality 1. Null texts have no n-grams and
     weight 0. Repeated rows have equal keys and stay or go together. Without targets the target
@@ -142,6 +141,9 @@ def resample(
     rows = docs.select(column(docs, doc_id).alias("doc_id"), column(docs, text).alias("text"))
     good = labels.where(column(labels, quality) == 1).select(column(labels, label_id).alias("good_id"))
     good = good.where("good_id is not null").distinct()
+    if share is None:
+        mean = labels.agg(F.avg((column(labels, quality) == 1).cast("double"))).first()[0]
+        share = 1.0 if mean is None else mean
     ratios = log_ratios(*count_grams(rows, good))
     weighed = stored(weigh(rows, ratios, seed), "weights")
     last = place_of(weighed, round(share * weighed.count()))

@@ -4,8 +4,8 @@ The subwords of a text are all runs of two to four bytes within its words, the w
 included. Each hashes to an embedding; a text is the average of its embeddings, and a linear softmax
 over it gives the languages. Embeddings and softmax are trained together by stochastic gradient
 descent in numpy, on a bounded sample of labelled texts. A temperature, fitted on texts left out of
-training, calibrates the scores; a text scoring below every rightly recognised one of those is
-rejected.
+training, calibrates the scores. A text is rejected that scores below every rightly recognised one
+of those, and nearer to a guess than to a half.
 
 Training needs the model's driver to hold the sample's subword counts only; prediction needs
 nothing but the product of embeddings and softmax, one row of numbers per hash.
@@ -176,7 +176,9 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS)
         model.temperature = _calibrated(logits, labels[test])
         p = model._softmax(logits)
         right = p.argmax(axis=1) == labels[test]
-        model.threshold = float(min(0.5, p.max(axis=1)[right].min(initial=0.5)))
+        # texts of two languages score about a half and are not to go
+        least = (1 / len(languages) + 0.5) / 2
+        model.threshold = float(min(least, p.max(axis=1)[right].min(initial=least)))
     return model
 
 
@@ -275,9 +277,12 @@ def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
 
 def accepted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """The rows of `docs` that are not rejected, columns as they are."""
-    names = docs.columns
-    at = names.index(text)
-    rows = docs.select(*[column(docs, c) for c in docs.columns], _with_letters(docs, text).alias("_letters"))
+    at = docs.columns.index(text)
+    # plain names on the way, as those given may hold dots
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*[column(docs, c).alias(n) for c, n in zip(docs.columns, names)])
+    schema = rows.schema
+    rows = rows.withColumn("letters", _with_letters(rows, names[at]))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,5 +293,5 @@ def accepted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
                 kept = part.filter(pa.array(~rejected))
                 yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=names)
 
-    return rows.mapInArrow(compute, docs.schema)
+    return rows.mapInArrow(compute, schema).toDF(*docs.columns)
 

@@ -1,0 +1,47 @@
+"""Registered queries, and the pipeline run stage by stage."""
+
+import os
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+import __spark_entry__ as driver
+from layerkit.llm.queries import QUERIES, SQL
+
+duckdb = pytest.importorskip("duckdb")
+
+
+def test_all_are_registered():
+    found = driver.queries()
+    assert set(QUERIES) | {"pipeline"} <= set(found) and set(SQL) <= set(driver.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, sf, name):
+    duck = duckdb.connect()
+    for file in os.listdir(sf):
+        duck.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM read_parquet('{sf}/{file}')")
+    df = driver.queries()[name](spark, sf)
+    answer = duck.execute(SQL[name])
+    names = sorted(d[0] for d in answer.description)
+    order = [[d[0] for d in answer.description].index(n) for n in names]
+    assert sorted(df.columns) == names
+    want = Counter(tuple(r[i] for i in order) for r in answer.fetchall())
+    assert Counter(tuple(r[n] for n in names) for r in df.collect()) == want and want
+
+
+def test_pipeline_stages(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, ids = docs.columns, {r[0] for r in docs.select("doc_id").collect()}
+    counts = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, sf)
+        out.write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        counts.append(docs.count())
+        assert {r[0] for r in docs.select("doc_id").collect()} <= ids
+        assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == columns
+    assert len(ids) >= counts[0] > counts[1] >= counts[2] > 0 and counts[3] == counts[4]
+    assert corpus_pipeline.run(spark, sf).count() == counts[4]
