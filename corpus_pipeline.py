@@ -11,15 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from layerkit.llm import cube_sampling, decontaminate, language_id, packed_ids, simhash
 from layerkit.llm.common import stored
 from layerkit.llm.queries import tokenizer_file
+from layerkit.session import ship_package
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
+    ship_package(spark)
     return language_id.accepted(docs, language_id.train(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    ship_package(spark)
     return simhash.keep_one(docs)
 
 
@@ -30,11 +33,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    ship_package(spark)
     return cube_sampling.mixed_documents(docs)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the files of token ids hold, per document."""
+    ship_package(spark)
     return packed_ids.token_files(docs, tokenizer_file())
 
 
