@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,16 +33,31 @@ def local_session(cores: int | str = "*", app: str = "layerkit", **conf: str) ->
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Have Spark send this package to the Python workers, so that they can import it wherever the
+    session was started; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="layerkit-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by `spark.checkpoint.dir`. Only a
-    local master may go without: it gets a temporary folder, set for the session."""
+    """The folder every executor can reach, named by `spark.checkpoint.dir`. What is put there is
+    not deleted by this library; `new_path` names tell the step they belong to."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="layerkit-"))
-    return spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

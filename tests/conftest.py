@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from layerkit.session import local_session  # noqa: E402
+from layerkit.session import local_session, ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,9 +13,13 @@ def spark(tmp_path_factory):
     session = local_session(
         "*",
         "layerkit-tests",
-        **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
+        **{
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     yield session
     session.stop()
 

@@ -16,20 +16,26 @@ class Session:
     def getCheckpointDir(self):
         return self.context_dir
 
-    def setCheckpointDir(self, folder):
-        self.context_dir = folder
-
 
 def test_shared_folder_is_the_one_configured():
     assert shared_folder(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
     assert shared_folder(Session("yarn", None, "s3a://bucket/dir")) == "s3a://bucket/dir"
 
 
-def test_only_a_local_session_may_use_a_temporary_folder():
-    local = Session("local[4]")
-    assert shared_folder(local) == shared_folder(local) == local.context_dir
-    with pytest.raises(RuntimeError):
-        shared_folder(Session("yarn"))
+def test_a_folder_is_required_in_every_mode():
+    for master in ("local[4]", "yarn"):
+        with pytest.raises(RuntimeError):
+            shared_folder(Session(master))
+
+
+def test_workers_import_the_package_wherever_they_start(spark):
+    def names(batches):
+        import layerkit.session as found
+
+        for batch in batches:
+            yield batch.set_column(0, "id", [[len(found.__name__)] * len(batch)])
+
+    assert spark.range(3).mapInArrow(names, "id bigint").first()[0] == len("layerkit.session")
 
 
 def test_new_paths_differ(spark):
