@@ -44,9 +44,10 @@ class Check:
 
 @dataclass(frozen=True, kw_only=True)
 class RowCheck(Check):
-    """Rows where the SQL predicate `where` is true; `show` limits the columns reported."""
+    """Rows where `where` is true, SQL text or a function that makes the predicate; `show` limits the
+    columns reported."""
 
-    where: str
+    where: str | Callable[[], Column]
     show: Sequence[str] = ()
 
 
@@ -65,13 +66,14 @@ class QueryCheck(Check):
     issues: str | Callable[[Callable[[str], DataFrame]], DataFrame]
 
 
-def _quoted(values: Iterable[str]) -> str:
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+def _predicate(check: RowCheck) -> Column:
+    return F.expr(check.where) if isinstance(check.where, str) else check.where()
 
 
-def outside_domain(column: str, values: Sequence[str], **check) -> RowCheck:
-    """Values not in a fixed list; NULL is not an issue."""
-    return RowCheck(where=f"{column} NOT IN ({_quoted(values)})", **check)
+def outside_domain(column: str, values: Iterable[str | None], **check) -> RowCheck:
+    """Values not in a fixed list; NULL is not an issue, neither in the column nor in the list."""
+    known = [v for v in values if v is not None]
+    return RowCheck(where=lambda: F.col(column).isNotNull() & ~F.col(column).isin(known), **check)
 
 
 def missing(column: str, **check) -> RowCheck:
@@ -99,7 +101,7 @@ def out_of_order(start: str, end: str, **check) -> RowCheck:
 
 def not_matching(column: str, pattern: str, **check) -> RowCheck:
     """Values in which the regular expression finds no match; NULL is not an issue."""
-    return RowCheck(where=f"NOT ({column} RLIKE r'{pattern}')", **check)
+    return RowCheck(where=lambda: ~F.rlike(F.col(column), F.lit(pattern)), **check)
 
 
 # --- issue rows ---------------------------------------------------------------------------
@@ -119,12 +121,28 @@ def issue_rows(spark: SparkSession, check: Check, tables: Tables | None = None)
     """The offending rows (or keys) of one check, still distributed."""
     get = _lookup(spark, tables)
     if isinstance(check, RowCheck):
-        found = get(check.table).where(check.where)
+        found = get(check.table).where(_predicate(check))
         return found.select(*check.show) if check.show else found
     if isinstance(check, DuplicateCheck):
         counts = _key_counts(get(check.table), check.keys, check.count_as)
         return counts.where(F.col(check.count_as) > 1)
-    return spark.sql(check.issues) if isinstance(check.issues, str) else check.issues(get)
+    return _issues_by_sql(spark, check, tables) if isinstance(check.issues, str) else check.issues(get)
+
+
+def _issues_by_sql(spark: SparkSession, check: QueryCheck, tables: Tables | None) -> DataFrame:
+    """SQL text reads the catalogue's tables, or the given mapping's, which are views while the
+    statement is planned."""
+    if tables is None:
+        return spark.sql(check.issues)
+    if callable(tables):
+        raise CheckError(f"check {check.name!r} is SQL text and needs its tables by name")
+    try:
+        for name, df in tables.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(check.issues)
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
 
 
 # --- status -------------------------------------------------------------------------------
@@ -166,30 +184,36 @@ def two_decimals(x: Column) -> Column:
 _COUNTS = "check_pos int, total bigint, issues bigint"
 
 
-def _row_check_counts(df: DataFrame, checks: Sequence[tuple[int, RowCheck]]) -> DataFrame:
-    counts = [F.count_if(F.expr(c.where)).alias(f"i{pos}") for pos, c in checks]
+def _count_line(pos: int, total: Column, issues: Column) -> Column:
+    return F.struct(
+        F.lit(pos).alias("check_pos"), total.cast("bigint").alias("total"), issues.cast("bigint").alias("issues")
+    )
+
+
+def _row_check_counts(
+    df: DataFrame, checks: Sequence[tuple[int, RowCheck]], totals: Sequence[int] = ()
+) -> DataFrame:
+    """Counts of row checks, and of the table for the checks numbered in `totals`, by one scan."""
+    counts = [F.count_if(_predicate(c)).alias(f"i{pos}") for pos, c in checks]
     one = df.agg(F.count(F.lit(1)).alias("total"), *counts)
-    lines = [
-        F.struct(F.lit(pos).alias("check_pos"), F.col("total"), F.col(f"i{pos}").alias("issues"))
-        for pos, _ in checks
-    ]
+    lines = [_count_line(pos, F.col("total"), F.col(f"i{pos}")) for pos, _ in checks]
+    lines += [_count_line(pos, F.col("total"), F.lit(0)) for pos in totals]
     return one.select(F.inline(F.array(*lines)))
 
 
-def _duplicate_counts(df: DataFrame, pos: int, check: DuplicateCheck) -> DataFrame:
+def _duplicate_counts(df: DataFrame, pos: int, check: DuplicateCheck, totals: Sequence[int] = ()) -> DataFrame:
     n = F.col("n")
-    return _key_counts(df, check.keys, "n").agg(
-        F.lit(pos).alias("check_pos"),
-        F.coalesce(F.sum(n), F.lit(0)).alias("total"),
-        F.count_if(n > 1).alias("issues"),
+    one = _key_counts(df, check.keys, "n").agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("total"), F.count_if(n > 1).alias("issues")
     )
+    lines = [_count_line(pos, F.col("total"), F.col("issues"))]
+    lines += [_count_line(other, F.col("total"), F.lit(0)) for other in totals]
+    return one.select(F.inline(F.array(*lines)))
 
 
-def _query_counts(df: DataFrame, issues: DataFrame, pos: int) -> DataFrame:
-    n, zero = F.count(F.lit(1)), F.lit(0).cast("bigint")
-    total = df.agg(n.alias("total")).select(F.lit(pos).alias("check_pos"), "total", zero.alias("issues"))
-    found = issues.agg(n.alias("issues")).select(F.lit(pos).alias("check_pos"), zero.alias("total"), "issues")
-    return total.unionByName(found)
+def _query_counts(issues: DataFrame, pos: int) -> DataFrame:
+    one = issues.agg(F.count(F.lit(1)).alias("n"))
+    return one.select(F.inline(F.array(_count_line(pos, F.lit(0), F.col("n")))))
 
 
 def _reason(error: Exception) -> str:
@@ -199,24 +223,34 @@ def _reason(error: Exception) -> str:
 def _branches(
     spark: SparkSession, checks: Sequence[tuple[int, Check]], tables: Tables | None
 ) -> tuple[list[DataFrame], dict[int, str]]:
-    """Count branches of the checks that can be planned, and why the others cannot."""
+    """Count branches of the checks that can be planned, and why the others cannot. A table's rows
+    are counted once for all its checks, along with another count if there is one."""
     get = _lookup(spark, tables)
     branches: list[DataFrame] = []
     errors: dict[int, str] = {}
-    by_table: dict[str, list[tuple[int, RowCheck]]] = {}
+    by_row: dict[str, list[tuple[int, RowCheck]]] = {}
+    by_key: dict[str, list[tuple[int, DuplicateCheck]]] = {}
+    totals: dict[str, list[int]] = {}
     for pos, check in checks:
         try:
             df = get(check.table)
             if isinstance(check, RowCheck):
-                df.select(F.expr(check.where))  # resolves the predicate, runs nothing
-                by_table.setdefault(check.table, []).append((pos, check))
+                df.select(_predicate(check))  # resolves the predicate, runs nothing
+                by_row.setdefault(check.table, []).append((pos, check))
             elif isinstance(check, DuplicateCheck):
-                branches.append(_duplicate_counts(df, pos, check))
+                _key_counts(df, check.keys)
+                by_key.setdefault(check.table, []).append((pos, check))
             else:
-                branches.append(_query_counts(df, issue_rows(spark, check, tables), pos))
+                branches.append(_query_counts(issue_rows(spark, check, tables), pos))
+                totals.setdefault(check.table, []).append(pos)
         except Exception as error:  # noqa: BLE001 - one bad check must not stop the others
             errors[pos] = _reason(error)
-    branches += [_row_check_counts(get(t), group) for t, group in by_table.items()]
+    for name, group in by_key.items():
+        for i, (pos, check) in enumerate(group):
+            own = totals.pop(name, ()) if i == 0 and name not in by_row else ()
+            branches.append(_duplicate_counts(get(name), pos, check, own))
+    for name in dict.fromkeys([*by_row, *totals]):
+        branches.append(_row_check_counts(get(name), by_row.get(name, ()), totals.get(name, ())))
     return branches, errors
 
 

@@ -60,7 +60,8 @@ def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
             aggs.append(F.count_if(value.isNull()).alias(f"_null_{name}"))
             lines.append(_line(contract, name, "not_null", F.col(f"_null_{name}")))
         if field.isin is not None:
-            aggs.append(F.count_if(~value.isin(list(field.isin))).alias(f"_isin_{name}"))
+            known = [v for v in field.isin if v is not None]
+            aggs.append(F.count_if(value.isNotNull() & ~value.isin(known)).alias(f"_isin_{name}"))
             lines.append(_line(contract, name, "isin", F.col(f"_isin_{name}")))
         if field.unique:
             keyed.append(name)

@@ -97,7 +97,7 @@ def _unexpected(e: Expectation) -> Column | None:
     if e.type == NOT_NULL:
         return F.col(e.column).isNull()
     if e.type == IN_SET:
-        return F.col(e.column).isNotNull() & ~F.col(e.column).isin(e.kwargs["value_set"])
+        return F.col(e.column).isNotNull() & ~F.col(e.column).isin([v for v in e.kwargs["value_set"] if v is not None])
     if e.type == BETWEEN:
         return F.col(e.column).isNotNull() & ~_in_range(F.col(e.column), e.kwargs)
     return None

@@ -5,12 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
-BUCKETS = 4096
 
 _VARIABLE = (T.StringType, T.BinaryType)
 
@@ -31,16 +30,20 @@ def hot_values(df: DataFrame, column: str, share: float) -> dict:
     """Values holding more than `share` of the rows, at most 1/share of them, with their share,
     the greatest first.
 
-    One pass over the column counts hash buckets. Only if a bucket is that full are its values
-    counted, in a second pass; so nothing is shuffled per distinct value of the whole column.
+    One pass over the column counts hash buckets, several for each value that could be that
+    frequent. Only if a bucket is that full are its values counted, in a second pass; so nothing is
+    shuffled per distinct value of the whole column, and the driver gets full buckets only.
     """
     keys = df.select(column)
-    bucket = F.when(F.col(column).isNotNull(), F.pmod(F.xxhash64(column), F.lit(BUCKETS)))
-    sizes = keys.groupBy(bucket.alias("bucket")).count().collect()
-    total = sum(r["count"] for r in sizes)
-    full = [r["bucket"] for r in sizes if r["bucket"] is not None and r["count"] > share * total]
-    if not full:
+    buckets = max(64, math.ceil(8 / share))
+    bucket = F.when(F.col(column).isNotNull(), F.pmod(F.xxhash64(column), F.lit(buckets)))
+    sizes = keys.groupBy(bucket.alias("bucket")).count()
+    # the window goes over one row per bucket
+    sizes = sizes.withColumn("total", F.sum("count").over(Window.partitionBy()))
+    rows = sizes.where(F.col("bucket").isNotNull() & (F.col("count") > share * F.col("total"))).collect()
+    if not rows:
         return {}
+    full, total = [r["bucket"] for r in rows], rows[0]["total"]
     counts = keys.where(bucket.isin(full)).groupBy(column).count()
     found = counts.where(F.col("count") > share * total).orderBy(F.desc("count")).collect()
     return {value: n / total for value, n in found}
@@ -58,7 +61,7 @@ def _hot_salts(df: DataFrame, key: str, share: float | None) -> dict:
     up to no more than the shuffle partitions plus the number of values, so repeating the other
     side's matching rows that often stays small."""
     partitions = _partitions(df)
-    share = max(2 / partitions, 4 / BUCKETS) if share is None else share
+    share = 2 / partitions if share is None else share
     return {v: max(2, math.ceil(s * partitions)) for v, s in hot_values(df, key, share).items()}
 
 
@@ -115,10 +118,11 @@ def left_join(
 
     `right` is broadcast only if its measured size is at most `broadcast_bytes`. Otherwise
     rows of `left` with a frequent or NULL key are spread over several tasks, the matching rows
-    of `right` being repeated. A key frequent in `right` is joined on its own, with
-    `right` spread and the rows of `left` repeated; it is known to match, so that part is an
-    inner join. Frequent keys of `left` are looked for in `hot_from` if given: the table
-    `left_key` comes from, which saves running a `left` that is itself a join once more.
+    of `right` being repeated. A key frequent in `right` is joined on its own, with `right` spread
+    and the rows of `left` repeated; if it is frequent in `left` too, both are spread, and every part
+    of the one meets every part of the other. It is known to match, so that part is an inner join.
+    Frequent keys of `left` are looked for in `hot_from` if given, a stored table with the rows of
+    `left`, which saves running a `left` that is itself a join once more.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
@@ -128,6 +132,7 @@ def left_join(
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left")
     heavy = _hot_salts(right, right_key, hot_share)
     hot = _hot_salts(left if hot_from is None else hot_from, left_key, hot_share)
+    both = {v: n for v, n in hot.items() if v in heavy}
     hot = {v: n for v, n in hot.items() if v not in heavy}
     if not heavy:
         return _salted(left, right, left_key, right_key, hot, "left")
@@ -135,10 +140,11 @@ def left_join(
         left.where(~_is_hot(left_key, heavy)), right.where(~_is_hot(right_key, heavy)),
         left_key, right_key, hot, "left",
     )
-    few = _copied(left.where(_is_hot(left_key, heavy)), left_key, heavy, "_copy")
-    many = _scattered(right.where(_is_hot(right_key, heavy)), right_key, heavy, "_salt")
-    on = (few[left_key] == many[right_key]) & (few["_copy"] == many["_salt"])
-    return usual.unionByName(few.join(many, on, "inner").drop("_salt", "_copy"))
+    mine, theirs = left.where(_is_hot(left_key, heavy)), right.where(_is_hot(right_key, heavy))
+    mine = _copied(_scattered(mine, left_key, both, "_part"), left_key, heavy, "_copy")
+    theirs = _copied(_scattered(theirs, right_key, heavy, "_salt"), right_key, both, "_meets")
+    on = (mine[left_key] == theirs[right_key]) & (mine["_copy"] == theirs["_salt"]) & (mine["_part"] == theirs["_meets"])
+    return usual.unionByName(mine.join(theirs, on, "inner").drop("_part", "_copy", "_salt", "_meets"))
 
 
 def left_anti_join(
@@ -150,11 +156,13 @@ def left_anti_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float | None = None,
 ) -> DataFrame:
-    """Rows of `left` whose key is NULL or not in `right`. Repeats in `right` are removed by a
-    pre-aggregated distinct, so only `left` can be skewed; its frequent keys are spread."""
-    right = right.select(right_key).where(F.col(right_key).isNotNull()).distinct()
+    """Rows of `left` whose key is NULL or not in `right`. Beyond the broadcast limit, repeats in
+    `right` are removed by a pre-aggregated distinct, so only `left` can be skewed; its frequent keys
+    are spread."""
+    right = right.select(right_key).where(F.col(right_key).isNotNull())
     size = size_in_bytes(right)
     if size is not None and size <= broadcast_bytes:
         return left.join(F.broadcast(right), left[left_key] == right[right_key], "left_anti")
+    right = right.distinct()
     hot = _hot_salts(left, left_key, hot_share)
     return _salted(left, right, left_key, right_key, hot, "left_anti")

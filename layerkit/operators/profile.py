@@ -13,7 +13,7 @@ from layerkit.operators.quantiles import ACCURACY, exact_quantiles
 from layerkit.session import few_rows
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
-_LONG_TEXT = 64
+_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -46,9 +46,10 @@ def _cell(df: DataFrame, column: str, shorten: bool) -> Column:
     text = F.lit(None)
     if not isinstance(t, T.NumericType) or isinstance(t, T.DecimalType):
         text = (value if isinstance(t, T.AtomicType) else F.to_json(column)).cast("string")
+        if isinstance(t, T.TimestampType):  # local time alone would make two instants one
+            text = F.date_format(value, _INSTANT)
         if shorten and isinstance(t, T.StringType):
-            digest = F.concat(F.lit("#"), F.sha2(text, 256))
-            text = F.when(F.length(text) > _LONG_TEXT, digest).otherwise(text)
+            text = F.sha2(text, 256)
     return F.struct(
         F.lit(column).alias("column_name"),
         whole.cast("bigint").alias("whole"),
@@ -59,8 +60,8 @@ def _cell(df: DataFrame, column: str, shorten: bool) -> Column:
 
 def value_counts(df: DataFrame, columns: Sequence[str], shorten: bool = False) -> DataFrame:
     """(column_name, whole, real, text, n) for every non-NULL value, in one scan with map-side
-    counting. With `shorten`, texts longer than 64 characters are replaced by a digest, which
-    keeps them apart without shuffling whole texts."""
+    counting. With `shorten`, texts are replaced by their digests, which keeps them apart without
+    shuffling whole texts."""
     cells = df.select(F.inline(F.array(*[_cell(df, c, shorten) for c in columns])))
     cells = cells.where("whole is not null or real is not null or text is not null")
     return cells.groupBy("column_name", "whole", "real", "text").agg(F.count(F.lit(1)).alias("n"))
@@ -194,10 +195,16 @@ def profile_dates(df: DataFrame, columns: Sequence[str] | None = None, exact: bo
 
 
 def profile_top_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
-    """The k most frequent values per column, ties by value."""
-    order = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc())
+    """The k most frequent values per column, ties by value. The best k of each of many parts of a
+    column's values are found first, so no task ranks all of them."""
+    best = [F.col("n").desc(), F.col("value").asc()]
+    order = Window.partitionBy("column_name").orderBy(*best)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    within = Window.partitionBy("column_name", "part").orderBy(*best)
     value = F.coalesce(F.col("whole").cast("string"), F.col("real").cast("string"), "text")
     counts = value_counts(df, columns).select("column_name", value.alias("value"), "n")
+    counts = counts.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    counts = counts.withColumn("place", F.row_number().over(within)).where(F.col("place") <= k)
     ranked = counts.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k).select("column_name", "rank", "value", "n")
 

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-SAMPLE = 1_000_000
 
 
 @dataclass
@@ -32,13 +31,10 @@ class _Rank:
     def interval(self) -> tuple:
         return self.column, self.low, self.high
 
-    def shares(self, accuracy: int, fraction: float) -> list[float]:
-        """Shares of the interval between which a sketch of a `fraction` of it should put the
-        rank: twice the sketch's error and four standard deviations of the sample."""
-        if fraction < 1:
-            slack = self.inside * (2 / accuracy + 2 / math.sqrt(fraction * self.inside))
-        else:
-            slack = 2 * self.inside // accuracy
+    def shares(self, accuracy: int) -> list[float]:
+        """Shares of the interval between which a sketch of it should put the rank: twice the
+        sketch's error to either side."""
+        slack = 2 * self.inside // accuracy
         k = self.rank - self.before + 1
         return [(max(1, k - slack) - 0.5) / self.inside, (min(self.inside, k + slack) - 0.5) / self.inside]
 
@@ -54,6 +50,8 @@ class _Rank:
                 self.low, self.before = guess, upto
             elif self.rank < less <= after:
                 self.high, after = guess, less
+        if after - self.before == self.inside:
+            raise ArithmeticError(f"no value found at rank {self.rank} of {self.column}")
         self.inside = after - self.before
 
 
@@ -67,21 +65,18 @@ def _inside(column: str, low, high) -> Column:
     return ok
 
 
-def _propose(df: DataFrame, ranks: Sequence[_Rank], accuracy: int, sample: int) -> None:
-    """Set the guesses of all ranks: one sketch per interval, shared by the ranks in it. Large
-    intervals are sketched from a sample, since a guess only has to be near."""
+def _propose(df: DataFrame, ranks: Sequence[_Rank], accuracy: int) -> None:
+    """Set the guesses of all ranks: one sketch per interval, shared by the ranks in it."""
     groups: dict[tuple, list[_Rank]] = {}
     for r in ranks:
         groups.setdefault(r.interval, []).append(r)
-    fraction = min(1.0, sample / max(r.inside for r in ranks))
-    some = df if fraction == 1 else df.sample(fraction, seed=1)
     sketches = []
     for interval, group in groups.items():
-        shares = [p for r in group for p in r.shares(accuracy, fraction)]
+        shares = [p for r in group for p in r.shares(accuracy)]
         value = F.when(_inside(*interval), F.col(interval[0]))
         sketches.append(F.percentile_approx(value, shares, accuracy))
     wanted = reduce(lambda a, b: a | b, [_inside(*interval) for interval in groups])
-    found = some.where(wanted).agg(*[s.alias(f"g{i}") for i, s in enumerate(sketches)]).first()
+    found = df.where(wanted).agg(*[s.alias(f"g{i}") for i, s in enumerate(sketches)]).first()
     for i, group in enumerate(groups.values()):
         for j, r in enumerate(group):
             r.guesses = tuple(dict.fromkeys((found[f"g{i}"] or [])[2 * j : 2 * j + 2]))
@@ -112,25 +107,33 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     accuracy: int = ACCURACY,
-    sample: int = SAMPLE,
 ) -> dict[str, dict[float, float | None]]:
-    """Linearly interpolated quantiles per column, NULLs ignored.
+    """Linearly interpolated quantiles per column, NULLs ignored. NaN comes last: a rank that falls
+    on one has the quantile NaN.
 
     Each round is two aggregates for all columns together: a bounded sketch of the values still
     in question proposes a narrow interval per wanted rank, and a count over the whole table
     confirms it or moves the search to the side the rank is on. A round shrinks the interval
     some hundredfold, so even 10^12 rows take four or five.
     """
-    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    real = [F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns]
+    counts = df.agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.count_if(F.isnan(c)).alias(f"nan{i}") for i, c in enumerate(columns)],
+    ).first()
+    sizes = {c: counts[f"n{i}"] for i, c in enumerate(columns)}
+    reals = {c: sizes[c] - counts[f"nan{i}"] for i, c in enumerate(columns)}
+    df = df.select(*real)
     ranks: dict[tuple, _Rank] = {}
     for c in columns:
         for p in probabilities if sizes[c] else ():
             position = p * (sizes[c] - 1)
             for rank in (math.floor(position), math.ceil(position)):
-                ranks.setdefault((c, rank), _Rank(c, rank, sizes[c]))
-    pending = list(ranks.values())
+                last = math.nan if rank >= reals[c] else None
+                ranks.setdefault((c, rank), _Rank(c, rank, reals[c], value=last))
+    pending = [r for r in ranks.values() if r.value is None]
     while pending:
-        _propose(df, pending, accuracy, sample)
+        _propose(df, pending, accuracy)
         guesses: dict[str, set] = {}
         for r in pending:
             guesses.setdefault(r.column, set()).update(r.guesses)
@@ -145,5 +148,6 @@ def exact_quantiles(
         for p in probabilities if sizes[c] else ():
             position = p * (sizes[c] - 1)
             low, high = (float(ranks[c, f(position)].value) for f in (math.floor, math.ceil))
-            result[c][p] = low + (high - low) * (position - math.floor(position))
+            share = position - math.floor(position)
+            result[c][p] = low + (high - low) * share if share else low
     return result

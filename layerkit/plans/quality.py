@@ -187,7 +187,8 @@ _INT = ("int", "bigint")
 _DAY = ("date", "timestamp", "timestamp_ntz")
 _TEXT = ("string",)
 
-# Labels and unique ids hold only after cleansing, so the raw contract asks for types alone.
+# Labels and unique ids hold only after cleansing: these ask the raw table for types alone, and
+# the customer dimension for the integer key it has.
 CONTRACTS = {
     "bronze.crm_cust_info": Contract(
         "bronze_crm_cust",

@@ -9,7 +9,7 @@ from layerkit.operators.runlog import state_counts, step_durations
 from layerkit.plans.queries.data import table
 from layerkit.plans.queries.quality import BY_NAME, EVENT_TYPES
 from layerkit.session import new_path
-from layerkit.streaming.quality import check_stream
+from layerkit.streaming.quality import check_stream, repeated_keys
 from layerkit.streaming.windows import append_closed_windows, tumbling_counts, tumbling_counts_stream
 
 
@@ -37,7 +37,21 @@ def stream_check_metrics(spark, sf):
     return rows.agg(F.sum("total_records").alias("total_records"), F.sum("issues_found").alias("issues_found"))
 
 
+REPEATED = C.DuplicateCheck(name="repeated", table="events", keys=["user_id", "event_type"], count_as="n")
+
+
+def stream_repeated_keys(spark, sf):
+    """Keys repeated over several micro-batches, each a part of the events."""
+    path = new_path(spark, "batches")
+    events = table(spark, sf, "events")
+    events.repartitionByRange(3, "event_id").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    check_stream(stream, [REPEATED], f"{path}/out", f"{path}/state").awaitTermination()
+    return repeated_keys(spark, REPEATED, f"{path}/out")
+
+
 QUERIES = {
+    "stream_repeated_keys": stream_repeated_keys,
     "ops_step_duration": lambda spark, sf: step_durations(table(spark, sf, "events"), ["user_id"], "ts"),
     "ops_state_counts": lambda spark, sf: state_counts(table(spark, sf, "events"), "event_type"),
     "ops_tumbling_counts": lambda spark, sf: tumbling_counts(
@@ -55,6 +69,8 @@ _WINDOWS_SQL = """
 """
 
 SQL = {
+    "stream_repeated_keys": """
+        SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type HAVING count(*) > 1""",
     "ops_step_duration": """
         SELECT user_id, min(ts) AS started, max(ts) AS ended, count(*) AS entries,
                round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 3) AS duration_sec

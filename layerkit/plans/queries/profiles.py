@@ -26,12 +26,35 @@ def _rounded(df):
     return df.select(*[F.round(c, 7).alias(c) if c in doubles else F.col(c) for c in df.columns])
 
 
+def numeric_nan(spark, sf):
+    """Quantiles of prices, of which those of returned lines are NaN."""
+    lines = table(spark, sf, "lineitem")
+    price = F.when(F.col("l_returnflag") == "R", F.lit(float("nan"))).otherwise(F.col("l_extendedprice"))
+    row = P.profile_numeric(lines.select(price.alias("price")), ["price"])
+    return _rounded(row.select("column_name", "n", *P.QUANTILES))
+
+
+def approximate(spark, sf):
+    """Whether sketched distinct counts are within a tenth of the exact ones."""
+    tables = {t: table(spark, sf, t) for t in TABLES}
+    exact = P.profile_layer(tables).select("table_name", "column_name", "n", "n_missing", "n_distinct")
+    near = P.profile_layer(tables, exact=False).select(
+        F.col("table_name").alias("t"), F.col("column_name").alias("c"), F.col("n_distinct").alias("sketched")
+    )
+    # one line per column on both sides
+    both = exact.join(near, (F.col("table_name") == F.col("t")) & (F.col("column_name") == F.col("c")))
+    close = F.abs(F.col("sketched") - F.col("n_distinct")) <= F.greatest(F.lit(1.0), 0.1 * F.col("n_distinct"))
+    return both.select("table_name", "column_name", "n", "n_missing", close.alias("is_close"))
+
+
 QUERIES = {
     "profile_numeric": lambda spark, sf: _rounded(P.profile_numeric(table(spark, sf, "lineitem"), NUMBERS)),
     "profile_string": lambda spark, sf: _rounded(P.profile_string(table(spark, sf, "documents"), TEXTS)),
     "profile_dates": lambda spark, sf: _rounded(P.profile_dates(table(spark, sf, "orders"))),
     "profile_top_values": lambda spark, sf: P.profile_top_values(table(spark, sf, "lineitem"), CODES, TOP),
     "profile_table": lambda spark, sf: _rounded(P.profile_layer({t: table(spark, sf, t) for t in TABLES})),
+    "profile_numeric_nan": lambda spark, sf: numeric_nan(spark, sf),
+    "profile_table_approx": lambda spark, sf: approximate(spark, sf),
     "profile_overview": lambda spark, sf: _rounded(P.profile_overview(labelled_documents(spark, sf))),
 }
 
@@ -70,7 +93,23 @@ def _top_sql(c):
         FROM (SELECT CAST({c} AS VARCHAR) AS value, count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c}) g"""
 
 
+def _nan_last_sql(p):
+    """Quantile over sorted values x of which there are n with those that count as NaN."""
+    low, high = f"CAST(floor({p} * (n - 1)) AS BIGINT) + 1", f"CAST(ceil({p} * (n - 1)) AS BIGINT) + 1"
+    part = f"({p} * (n - 1) - floor({p} * (n - 1)))"
+    return f"""CASE WHEN {high} > len(x) THEN 'NaN'::DOUBLE
+        ELSE round(x[{low}] + (x[{high}] - x[{low}]) * {part}, 7) END"""
+
+
 SQL = {
+    "profile_numeric_nan": f"""
+        SELECT 'price' AS column_name, n, {", ".join(f"{_nan_last_sql(p)} AS {q}" for q, p in P.QUANTILES.items())}
+        FROM (SELECT count(*) AS n, list_sort(list(l_extendedprice) FILTER (l_returnflag <> 'R')) AS x FROM lineitem) l""",
+    "profile_table_approx": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n, count(*) - count({c}) AS n_missing, true AS is_close FROM {t}"
+        for t, columns in TABLES.items()
+        for c in columns
+    ),
     "profile_dates": f"""SELECT {_common_sql("o_orderdate", "date")},
         min(o_orderdate) AS min, max(o_orderdate) AS max,
         CAST(date_diff('day', min(o_orderdate), max(o_orderdate)) AS INTEGER) AS range_days FROM orders""",

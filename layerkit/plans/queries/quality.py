@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from layerkit.plans.queries import star
 from layerkit.plans.queries.cleanse import SQL as CLEANSE_SQL
 from layerkit.plans.queries.cleanse import silver_int_dates
 from layerkit.plans.queries.data import RAW_PARTS_SQL, raw_parts, table
-from layerkit.session import new_path
+from layerkit.session import new_path, store
+from layerkit.sources.catalogue import load_catalogue
 from layerkit.sources.csv import count_csv_rows
 
 EVENT_TYPES = ("view", "click", "purchase", "signup")
@@ -34,10 +36,6 @@ def customer_locations(spark, sf):
     return left_join(customers, table(spark, sf, "nation"), "c_nationkey", "n_nationkey").select("c_custkey", "n_name")
 
 
-def dated_lines(spark, sf):
-    return star.sales(spark, sf).select("l_orderkey", "l_linenumber", "o_orderdate", "l_shipdate")
-
-
 def orphans(fact, products, customers):
     product = products.select(F.col("product_key").alias("p_key"), "product_id")
     customer = customers.select(F.col("customer_key").alias("c_key"), "customer_id")
@@ -91,10 +89,11 @@ def tables(spark, sf):
         "labelled_documents": lambda: labelled_documents(spark, sf),
         "order_dates": lambda: silver_int_dates(spark, sf),
         "customer_locations": lambda: customer_locations(spark, sf),
-        "dated_lines": lambda: dated_lines(spark, sf),
+        "sales": lambda: store(star.sales(spark, sf), "sales"),
+        "dated_lines": lambda: get("sales").select("l_orderkey", "l_linenumber", "o_orderdate", "l_shipdate"),
         "dim_product": lambda: star.gold_dim_product(spark, sf),
         "dim_customer": lambda: star.gold_dim_customer(spark, sf),
-        "fact": lambda: star.fact(spark, sf, get("dim_product"), get("dim_customer")),
+        "fact": lambda: store(star.fact(get("sales"), get("dim_product"), get("dim_customer")), "fact"),
         "unknown_products": lambda: unknown_products(spark, sf),
     }
 
@@ -169,7 +168,45 @@ def dq_report_lines(spark, sf):
     return report_lines(done(spark, sf, C.tiered()), "silver")
 
 
+ODD_TYPES = ("view", "cl\\ick", "o'clock")
+ODD_PATTERN = r"^https://[^'\\]+$"
+
+
+def escapes(spark, sf):
+    """Values and patterns with quotes and backslashes, made from given columns."""
+    events, pages = table(spark, sf, "events"), table(spark, sf, "pages")
+    kind = F.when(F.col("event_type") == "click", F.lit(ODD_TYPES[1])).otherwise(F.col("event_type"))
+    address = F.when(F.col("page_id") % 3 == 0, F.concat("url", F.lit("?q='"))).otherwise(F.col("url"))
+    found = C.run_checks(spark, [
+        C.outside_domain("kind", [*ODD_TYPES, None], name="odd_types", table="events"),
+        C.not_matching("address", ODD_PATTERN, name="odd_addresses", table="pages"),
+    ], {"events": events.select(kind.alias("kind")), "pages": pages.select(address.alias("address"))})
+    return found.select("check_name", "total_records", "issues_found")
+
+
+def error_rows(spark, sf):
+    """Checks of a missing column, a missing table and one that fails at run time, beside a good one."""
+    found = C.run_checks(spark, [
+        C.missing("value", name="good", table="events"),
+        C.missing("no_such_column", name="no_column", table="events"),
+        C.missing("value", name="no_table", table="no_such_table"),
+        C.RowCheck(name="fails", table="events", where="raise_error('broken') IS NULL"),
+    ], {"events": table(spark, sf, "events")}, C.strict())
+    failed = F.col("error").isNotNull().alias("failed")
+    return found.select("check_name", "total_records", "issues_found", "status", failed)
+
+
+def yaml_catalogue(spark, sf):
+    """Checks and threshold from a YAML file, statements included."""
+    catalogue = load_catalogue(str(Path(__file__).with_name("checks.yaml")))
+    given = {n: table(spark, sf, n) for n in ("customer", "orders")}
+    return catalogue.run(spark, "bronze", given).select(*_STATUS)
+
+
 QUERIES = {
+    "dq_domain_escapes": escapes,
+    "dq_error_rows": error_rows,
+    "dq_yaml_catalogue": yaml_catalogue,
     "dq_duplicate_keys": _issues("line_duplicates"),
     "dq_domain_violations": _issues("event_domain"),
     "dq_location_codes": _issues("location_codes"),
@@ -315,6 +352,26 @@ def _status_sql(status):
 
 
 SQL = {
+    "dq_domain_escapes": """
+        SELECT 'odd_types' AS check_name, count(*) AS total_records,
+               count(CASE WHEN event_type NOT IN ('view', 'click') THEN 1 END) AS issues_found FROM events
+        UNION ALL SELECT 'odd_addresses', count(*),
+               count(CASE WHEN page_id % 3 = 0 OR NOT starts_with(url, 'https://') OR contains(url, chr(39))
+                          OR contains(url, chr(92)) OR length(url) < 9 THEN 1 END) FROM pages""",
+    "dq_error_rows": """
+        SELECT 'good' AS check_name, count(*) AS total_records, count(*) - count(value) AS issues_found,
+               CASE WHEN count(value) = count(*) THEN 'PASS' ELSE 'FAIL' END AS status, false AS failed FROM events
+        UNION ALL SELECT name, 0, 0, 'ERROR', true FROM (VALUES ('no_column'), ('no_table'), ('fails')) v(name)""",
+    "dq_yaml_catalogue": f"""
+        WITH counted AS (
+          SELECT 'low_balances' AS check_name, 'high' AS severity, (SELECT count(*) FROM customer) AS total,
+                 (SELECT count(*) FROM customer WHERE c_acctbal < 1000) AS issues_found
+          UNION ALL
+          SELECT 'open_orders', 'medium', (SELECT count(*) FROM orders),
+                 (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F')),
+        rated AS (SELECT *, (total - issues_found) / total * 100 AS clean_pct FROM counted)
+        SELECT check_name, severity, issues_found, CAST(printf('%.2f', clean_pct) AS DOUBLE) AS clean_percentage,
+               {_TIERED_SQL.replace('95', '30')} AS status FROM rated""",
     "dq_duplicate_keys": ISSUE_SQL["line_duplicates"],
     "dq_domain_violations": ISSUE_SQL["event_domain"],
     "dq_location_codes": ISSUE_SQL["location_codes"],

@@ -7,10 +7,12 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from layerkit.operators.checks import check_results, tiered
+from layerkit.operators.contracts import check_contract
 from layerkit.operators.joins import left_join
 from layerkit.plans import gold, quality, silver
 from layerkit.plans.queries.data import table
 from layerkit.plans.queries.quality import _TIERED_SQL
+from layerkit.plans.quality import PUBLISHED_CONTRACTS
 
 
 def _codes(column, codes):
@@ -172,6 +174,13 @@ def _checks(layer):
     return query
 
 
+def contract_published(spark, sf):
+    """The raw customers against the published contract: labels and ids are not cleansed yet."""
+    name = "bronze.crm_cust_info"
+    rules = check_contract(raw_customers(spark, sf), PUBLISHED_CONTRACTS[name])
+    return rules.where("rule <> 'type'").select("column_name", "rule", "failures", "status")
+
+
 QUERIES = {
     "retail_silver_customers": _table("silver.crm_cust_info"),
     "retail_silver_products": _table("silver.crm_prd_info"),
@@ -179,6 +188,7 @@ QUERIES = {
     "retail_dim_customers": _table("gold.dim_customers"),
     "retail_dim_products": _table("gold.dim_products"),
     "retail_fact_sales": _table("gold.fact_sales"),
+    "contract_published": contract_published,
     "retail_silver_checks": _checks("silver"),
     "retail_gold_checks": _checks("gold"),
 }
@@ -269,7 +279,18 @@ def _checks_sql(layer):
         FROM (SELECT *, (total_records - issues_found) / total_records * 100 AS clean_pct FROM ({counts}) c) m"""
 
 
+_PUBLISHED_SQL = f"""
+  SELECT column_name, rule, failures, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+    SELECT 'cst_id' AS column_name, 'not_null' AS rule, count(*) - count(cst_id) AS failures FROM ({RAW_CUSTOMERS_SQL}) r
+    UNION ALL SELECT 'cst_id', 'unique', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
+      SELECT count(*) AS n FROM ({RAW_CUSTOMERS_SQL}) r WHERE cst_id IS NOT NULL GROUP BY cst_id HAVING count(*) > 1) g
+    UNION ALL SELECT 'cst_marital_status', 'isin', count(CASE WHEN cst_marital_status NOT IN ('Single', 'Married', 'n/a') THEN 1 END)
+      FROM ({RAW_CUSTOMERS_SQL}) r
+    UNION ALL SELECT 'cst_gndr', 'isin', count(CASE WHEN cst_gndr NOT IN ('Female', 'Male', 'n/a') THEN 1 END)
+      FROM ({RAW_CUSTOMERS_SQL}) r) f"""
+
 SQL = {
+    "contract_published": _PUBLISHED_SQL,
     "retail_silver_customers": CUSTOMERS_SQL,
     "retail_silver_products": PRODUCTS_SQL,
     "retail_silver_sales": SALES_SQL,

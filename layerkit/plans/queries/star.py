@@ -9,6 +9,7 @@ from layerkit.operators.dedupe import current_rows
 from layerkit.operators.joins import left_join
 from layerkit.operators.keys import surrogate_key
 from layerkit.plans.queries.data import RAW_PARTS_SQL, raw_parts, table
+from layerkit.session import store
 
 
 def gold_current_rows(spark, sf):
@@ -24,7 +25,7 @@ def gold_dim_customer(spark, sf):
     nation = table(spark, sf, "nation")
     region = table(spark, sf, "region")
     joined = left_join(customer, nation, "c_nationkey", "n_nationkey")
-    joined = left_join(joined, region, "n_regionkey", "r_regionkey", hot_from=nation)
+    joined = left_join(joined, region, "n_regionkey", "r_regionkey")
     segment = F.when(F.col("c_mktsegment") == "FURNITURE", "n/a").otherwise(F.col("c_mktsegment"))
     rows = joined.select(
         F.col("c_custkey").alias("customer_id"),
@@ -60,12 +61,12 @@ def sales(spark, sf):
     return left_join(lines, orders, "l_orderkey", "o_orderkey")
 
 
-def fact(spark, sf, products, customers):
+def fact(sold, products, customers):
+    """The fact table from the stored `sales`."""
     product = products.select("product_id", "product_key")
     customer = customers.select("customer_id", "customer_key")
-    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    joined = left_join(sales(spark, sf), product, "l_partkey", "product_id", hot_from=lines)
-    joined = left_join(joined, customer, "o_custkey", "customer_id", hot_from=orders)
+    joined = left_join(sold, product, "l_partkey", "product_id")
+    joined = left_join(joined, customer, "o_custkey", "customer_id", hot_from=sold)
     return joined.select(
         F.col("l_orderkey").alias("order_number"),
         F.col("l_linenumber").alias("line"),
@@ -79,7 +80,7 @@ def fact(spark, sf, products, customers):
 
 
 def gold_fact(spark, sf):
-    return fact(spark, sf, gold_dim_product(spark, sf), gold_dim_customer(spark, sf))
+    return fact(store(sales(spark, sf), "sales"), gold_dim_product(spark, sf), gold_dim_customer(spark, sf))
 
 
 DIM_CUSTOMER_SQL = """

@@ -3,43 +3,51 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from layerkit.operators.checks import Policy, alerts, layer_checks, run_checks, tiered
-from layerkit.operators.contracts import enforce
+from layerkit.operators.contracts import Contract, enforce
 from layerkit.operators.expectations import run_checkpoint
 from layerkit.operators.profile import profile_layer
 from layerkit.operators.report import write_issues, write_report, write_summary
 from layerkit.plans import gold, quality, silver
 from layerkit.plans.schemas import BRONZE, GOLD, SILVER, SOURCE_FILES
 from layerkit.session import few_rows
+from layerkit.sources.catalogue import Catalogue
 from layerkit.sources.csv import read_csv
 from layerkit.sources.tables import create_layers, create_table, write_table
 
 LOG_SCHEMA = "run string, pos int, step string, state string, at timestamp_ntz, message string"
 
+ALERT_SCHEMA = "run string, step string, status string, message string"
+
 
 class StepFailed(Exception):
-    """A step raised; `log` holds the run log up to it."""
+    """A step raised; `log` holds the run log up to it, `alert` the message stored for it."""
 
-    def __init__(self, step: str, error: Exception, log: DataFrame):
+    def __init__(self, step: str, error: Exception, log: DataFrame, alert: DataFrame):
         super().__init__(f"{step}: {error}")
-        self.log = log
+        self.log, self.alert = log, alert
 
 
 @dataclass
 class Warehouse:
-    """Where a warehouse reads its source files and keeps its tables and reports."""
+    """Where a warehouse reads its source files and keeps its tables and reports. Checks, threshold
+    and issue files are those of `catalogue` if given. `contracts` are the published ones unless told
+    otherwise."""
 
     spark: SparkSession
     source: str
     root: str
-    policy: Policy = field(default_factory=tiered)
+    policy: Policy | None = None
     on_invalid_date: str = "fail"
     detailed_report: bool = True
+    catalogue: Catalogue | None = None
+    contracts: Mapping[str, Contract] = field(default_factory=lambda: quality.PUBLISHED_CONTRACTS)
+    multi_line: bool = False
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
@@ -57,7 +65,9 @@ class Warehouse:
 
     def load_bronze(self, tables: Sequence[str] = tuple(BRONZE)) -> None:
         for name in tables:
-            rows = read_csv(self.spark, f"{self.source}/{SOURCE_FILES[name]}", BRONZE[name])
+            rows = read_csv(
+                self.spark, f"{self.source}/{SOURCE_FILES[name]}", BRONZE[name], multi_line=self.multi_line
+            )
             write_table(rows, self.root, f"bronze.{name}")
 
     def load_silver(self, tables: Sequence[str] = tuple(SILVER)) -> None:
@@ -82,7 +92,7 @@ class Warehouse:
 
     def contract(self, table: str, strict: bool = True) -> DataFrame:
         path = self.artifacts(f"{table.replace('.', '_')}_contract")
-        return enforce(self.table(table), quality.CONTRACTS[table], path, strict)
+        return enforce(self.table(table), self.contracts[table], path, strict)
 
     def expectations(self, layer: str) -> DataFrame:
         batches = [(self.table(t), s) for t, s in quality.layer_suites(layer).items()]
@@ -90,12 +100,17 @@ class Warehouse:
 
     def checks(self, layer: str) -> DataFrame:
         """Results of the layer's checks, with reports and issue files stored."""
-        wanted = layer_checks(quality.CHECKS, layer)
-        results = run_checks(self.spark, wanted, self.table, self.policy)
+        given = self.catalogue
+        wanted = layer_checks(given.layers if given else quality.CHECKS, layer)
+        files = given.files if given else quality.ISSUE_FILES
+        policy = self.policy or (given.policy() if given else tiered())
+        results = run_checks(self.spark, wanted, None, policy)
         write_summary(results, self.artifacts(f"{layer}_quality_summary"))
         write_report(results, layer, self.artifacts(f"{layer}_quality_report"), self.detailed_report)
         clean = {r.check_name for r in results.collect() if r.error is None and r.issues_found == 0}
-        write_issues(self.spark, wanted, self.artifacts("issues"), self.table, quality.ISSUE_FILES, clean)
+        write_issues(self.spark, wanted, self.artifacts("issues"), None, files, clean)
+        if given:
+            given.score(results).coalesce(1).write.mode("overwrite").json(self.artifacts(f"{layer}_score"))
         alerts(results).write.mode("overwrite").json(self.artifacts(f"{layer}_alerts"))
         return results
 
@@ -126,7 +141,7 @@ class Warehouse:
 
     def build(self, run: str | None = None) -> DataFrame:
         """Run all steps in order and return the run log. The first step that raises, such as
-        a broken contract, ends the run with `StepFailed`."""
+        a broken contract, ends the run with `StepFailed`, after an alert is stored for it."""
         run = run or f"{dt.datetime.now():%Y%m%d-%H%M%S}"
         log: list[tuple] = []
 
@@ -143,7 +158,10 @@ class Warehouse:
             try:
                 action()
             except Exception as error:
-                note(pos, step, "failed", str(error).splitlines()[0])
-                raise StepFailed(step, error, stored()) from error
+                reason = str(error).splitlines()[0]
+                note(pos, step, "failed", reason)
+                alert = few_rows(self.spark, [(run, step, "FAIL", f"step {step} failed: {reason}")], ALERT_SCHEMA)
+                alert.coalesce(1).write.mode("overwrite").json(self.artifacts("run_alerts", run))
+                raise StepFailed(step, error, stored(), alert) from error
             note(pos, step, "success")
         return stored()

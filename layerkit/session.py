@@ -60,6 +60,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def store(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once below the shared folder and read again."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

@@ -5,7 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from layerkit.operators.checks import PASS_THRESHOLD, SEVERITY_WEIGHTS, Check, CheckError, QueryCheck
+from pyspark.sql import DataFrame, SparkSession
+
+from layerkit.operators.checks import (
+    PASS_THRESHOLD,
+    SEVERITY_WEIGHTS,
+    Check,
+    CheckError,
+    Policy,
+    QueryCheck,
+    Tables,
+    layer_checks,
+    run_checks,
+    tiered,
+    weighted_score,
+)
 
 
 @dataclass(frozen=True)
@@ -15,6 +29,17 @@ class Catalogue:
     severity_weights: dict[str, float]
     files: dict[str, str]  # check name -> issue file it asks for
 
+    def policy(self) -> Policy:
+        """The tiered rule at the catalogue's threshold."""
+        return tiered(self.pass_threshold)
+
+    def run(self, spark: SparkSession, layer: str, tables: Tables | None = None) -> DataFrame:
+        """Results of a layer's checks at the catalogue's threshold."""
+        return run_checks(spark, layer_checks(self.layers, layer), tables, self.policy())
+
+    def score(self, results: DataFrame) -> DataFrame:
+        return weighted_score(results, self.severity_weights)
+
 
 def load_catalogue(path: str) -> Catalogue:
     """Read `quality_checks: {layer: [{name, table, issue_query, ...}]}` and

@@ -4,10 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from layerkit.operators.checks import Check, Policy, check_results
+from layerkit.operators.checks import Check, DuplicateCheck, Policy, QueryCheck, check_results
+
+
+def _keys_at(target: str, check: DuplicateCheck) -> str:
+    return f"{target}_keys/{check.name}"
+
+
+def _seen(batch: DataFrame, check: DuplicateCheck, target: str, batch_id: int) -> QueryCheck:
+    """The duplicate check against all batches so far: keys of this batch are kept with their counts,
+    and are issues if they occur more than once in this and the earlier batches together."""
+    spark, at = batch.sparkSession, _keys_at(target, check)
+    now = batch.groupBy(*check.keys).agg(F.count(F.lit(1)).alias("_n"))
+    now.write.mode("overwrite").parquet(f"{at}/batch_id={batch_id}")
+    schema = T.StructType([*now.schema.fields, T.StructField("batch_id", T.LongType())])
+    counts = spark.read.schema(schema).parquet(at).where(F.col("batch_id") <= batch_id)
+    new = F.sum(F.when(F.col("batch_id") == batch_id, F.col("_n")).otherwise(0))
+    total = counts.groupBy(*check.keys).agg(F.sum("_n").alias(check.count_as), new.alias("_new"))
+    found = total.where((F.col("_new") > 0) & (F.col(check.count_as) > 1)).drop("_new")
+    return QueryCheck(
+        name=check.name, table=check.table, severity=check.severity, description=check.description,
+        issues=lambda _: found,
+    )
+
+
+def repeated_keys(spark: SparkSession, check: DuplicateCheck, target: str) -> DataFrame:
+    """Keys that occur more than once in all batches `check_stream` has seen, with their counts."""
+    counts = spark.read.parquet(_keys_at(target, check)).groupBy(*check.keys)
+    return counts.agg(F.sum("_n").alias(check.count_as)).where(F.col(check.count_as) > 1)
 
 
 def check_stream(
@@ -18,10 +47,12 @@ def check_stream(
     policy: Policy | None = None,
 ) -> StreamingQuery:
     """Store one result row per check and batch at `target`, partitioned by `batch_id`. A
-    batch run again replaces its own rows. The checks see the batch as their table."""
+    batch run again replaces its own rows. The checks see the batch as their table; duplicate
+    checks also know the keys of earlier batches, which are kept at `target`_keys."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        results = check_results(batch.sparkSession, checks, lambda _: batch, policy)
+        wanted = [_seen(batch, c, target, batch_id) if isinstance(c, DuplicateCheck) else c for c in checks]
+        results = check_results(batch.sparkSession, wanted, {c.table: batch for c in checks}, policy)
         results.coalesce(1).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     return (

@@ -111,6 +111,32 @@ def test_failing_checks_become_error_rows(spark, table):
     assert C.layer_summary(C.run_checks(spark, group, {"t": table})).first().overall_status == "ERROR"
 
 
+def test_quotes_backslashes_and_nulls_in_checks(spark):
+    df = spark.createDataFrame([("a\\b",), ("it's",), ("zzz",), (None,)], "s string")
+    group = [C.outside_domain("s", ["a\\b", "it's", None], name="domain", table="t"),
+             C.not_matching("s", r"^(a\\b|it's)$", name="pattern", table="t")]
+    rows = C.run_checks(spark, group, {"t": df}).orderBy("check_pos").collect()
+    assert [(r.total_records, r.issues_found) for r in rows] == [(4, 1), (4, 1)]
+
+
+def test_statements_read_the_given_tables(spark, table):
+    spark.range(100).createOrReplaceTempView("few")
+    check = C.QueryCheck(name="q", table="few", issues="SELECT * FROM few WHERE id > 0")
+    row = C.run_checks(spark, [check], {"few": spark.range(3)}).first()
+    assert (row.total_records, row.issues_found) == (3, 2)
+    assert C.run_checks(spark, [check], lambda _: table).first().status == "ERROR"
+
+
+def test_a_table_is_counted_once(spark, table, explained):
+    group = [C.QueryCheck(name="q", table="t", issues=lambda get: get("u")), C.missing("k", name="a", table="t"),
+             C.DuplicateCheck(name="d", table="v", keys=["k"]), C.QueryCheck(name="r", table="v", issues=lambda get: get("u"))]
+    given = {"t": table, "u": table.limit(2), "v": table}
+    rows = C.run_checks(spark, group, given).orderBy("check_pos").collect()
+    assert [(r.total_records, r.issues_found) for r in rows][0::3] == [(100, 2), (100, 2)]
+    branches, _ = C._branches(spark, list(enumerate(group)), given)
+    assert len(branches) == 4
+
+
 def test_clean_plus_issues_is_total(spark, table):
     group = [C.missing("k", name="a", table="t"), C.RowCheck(name="b", table="t", where="id > 40")]
     for r in C.check_results(spark, group, {"t": table}, C.strict()).collect():
@@ -157,6 +183,9 @@ def test_yaml_catalogue(spark, table, tmp_path):
     table.withColumn("v", F.col("id")).createOrReplaceTempView("t")
     rows = C.run_checks(spark, catalogue.layers["silver"]).orderBy("check_pos").collect()
     assert [(r.issues_found, r.status) for r in rows] == [(49, "FAIL"), (0, "PASS")]
+    done = catalogue.run(spark, "silver", {"t": spark.table("t")})
+    assert [r.issues_found for r in done.orderBy("check_pos").collect()] == [49, 0]
+    assert catalogue.score(done).first()[0] is not None
     (tmp_path / "bad.yaml").write_text("quality_checks: {silver: [{name: x}]}")
     for name in ("bad.yaml", "absent.yaml"):
         with pytest.raises(C.CheckError):

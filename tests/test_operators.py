@@ -169,6 +169,28 @@ def test_hot_values_are_the_frequent_ones(spark):
     assert hot_values(df, "id", 0.01) == {} and hot_values(df.where("id < 0"), "k", 0.01) == {}
 
 
+def test_rare_keys_are_hot_among_many_partitions(spark):
+    key = F.when(F.col("id") % 1100 == 0, -1).otherwise(F.col("id"))
+    df = spark.range(220_000).select(key.alias("k"))
+    assert hot_values(df, "k", 2 / 20_000) == {-1: pytest.approx(1 / 1100)}
+
+
+def test_a_key_frequent_on_both_sides_is_spread_on_both(spark):
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(6_000).select(F.col("id"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"))
+        right = spark.range(60).select(F.col("id").alias("rid"), F.when(F.col("id") % 2 == 0, 7).otherwise(-F.col("id")).alias("rk"))
+        got = left_join(left, right, "k", "rk", broadcast_bytes=0)
+        sizes = [r["count"] for r in got.where("k = 7").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) >= 3_000 * 30 and max(sizes) < 0.55 * sum(sizes) and len(sizes) > 3
+        assert rows(got) == rows(left.join(right, left.k == right.rk, "left"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("partitions, salts", [("8", 3), ("600", 201)])
 def test_salts_grow_with_the_shuffle_partitions(spark, partitions, salts):
     old = spark.conf.get("spark.sql.shuffle.partitions")

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 
 from layerkit.session import few_rows, new_path, shared_folder
@@ -33,9 +34,10 @@ def test_workers_import_the_package_wherever_they_start(spark):
         import layerkit.session as found
 
         for batch in batches:
-            yield batch.set_column(0, "id", [[len(found.__name__)] * len(batch)])
+            named = pa.array([found.__name__] * len(batch), pa.string())
+            yield pa.RecordBatch.from_arrays([named], names=["name"])
 
-    assert spark.range(3).mapInArrow(names, "id bigint").first()[0] == len("layerkit.session")
+    assert spark.range(3).mapInArrow(names, "name string").first()[0] == "layerkit.session"
 
 
 def test_new_paths_differ(spark):

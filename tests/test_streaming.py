@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from layerkit.operators import checks as C
 from layerkit.streaming.ingest import ingest_csv
-from layerkit.streaming.quality import check_stream
+from layerkit.streaming.quality import check_stream, repeated_keys
 from layerkit.streaming.windows import append_closed_windows, tumbling_counts, tumbling_counts_stream
 
 SCHEMA = "id int, name string"
@@ -65,4 +65,8 @@ def test_check_metrics_per_batch_are_not_repeated(spark, tmp_path):
     assert first == [(0, "kind", 2, 1, "FAIL"), (0, "dup", 2, 1, "FAIL")]
     assert run() == first
     write_events(spark, source, [(at, "b")])
-    assert run() == first + [(1, "kind", 1, 0, "PASS"), (1, "dup", 1, 0, "PASS")]
+    second = first + [(1, "kind", 1, 0, "PASS"), (1, "dup", 1, 1, "FAIL")]
+    assert run() == second
+    write_events(spark, source, [(at + dt.timedelta(days=1), "b")])
+    assert run() == second + [(2, "kind", 1, 0, "PASS"), (2, "dup", 1, 0, "PASS")]
+    assert [tuple(r) for r in repeated_keys(spark, group[1], out).collect()] == [(at, 3)]

@@ -51,7 +51,7 @@ def source(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def built(spark, source, tmp_path_factory):
-    house = Warehouse(spark, str(source), str(tmp_path_factory.mktemp("house")), strict())
+    house = Warehouse(spark, str(source), str(tmp_path_factory.mktemp("house")), strict(), contracts=quality.CONTRACTS)
     house.log = house.build("run1")
     return house
 
@@ -148,6 +148,11 @@ def test_published_contracts_fail_where_they_ask_too_much(built):
     assert status("gold.dim_customers", quality.PUBLISHED_CONTRACTS) == "FAIL"
 
 
+def test_published_contract_of_the_raw_table_is_the_default(spark, source, tmp_path):
+    with pytest.raises(StepFailed, match="contract_bronze"):
+        Warehouse(spark, str(source), str(tmp_path / "house")).build("run1")
+
+
 def test_broken_contract_stops_the_run(spark, source, tmp_path):
     broken = tmp_path / "source"
     for table, text in FILES.items():
@@ -155,8 +160,11 @@ def test_broken_contract_stops_the_run(spark, source, tmp_path):
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text(text.replace("2024-03-01", "") if table == "crm_cust_info" else text)
     with pytest.raises(StepFailed) as failure:
-        Warehouse(spark, str(broken), str(tmp_path / "house")).build("run2")
+        Warehouse(spark, str(broken), str(tmp_path / "house"), contracts=quality.CONTRACTS).build("run2")
     assert isinstance(failure.value.__cause__, ContractError)
+    alert = failure.value.alert.first()
+    assert (alert.step, alert.status) == ("contract_silver", "FAIL") and "contract_silver failed" in alert.message
+    assert spark.read.json(f"{tmp_path}/house/artifacts/run_alerts/run2").count() == 1
     last = failure.value.log.orderBy(F.desc("pos"), F.desc("at")).first()
     assert (last.step, last.state) == ("contract_silver", "failed")
 
