@@ -13,6 +13,10 @@ from layerkit.plans import gold, quality, silver
 from layerkit.plans.queries.data import table
 from layerkit.plans.queries.quality import _TIERED_SQL
 from layerkit.plans.quality import PUBLISHED_CONTRACTS
+from layerkit.plans.schemas import SOURCE_FILES
+from layerkit.plans.warehouse import StepFailed, Warehouse
+from layerkit.session import new_path
+from layerkit.sources.csv import write_csv
 
 
 def _codes(column, codes):
@@ -181,7 +185,26 @@ def contract_published(spark, sf):
     return rules.where("rule <> 'type'").select("column_name", "rule", "failures", "status")
 
 
+def stopped_run(spark, sf):
+    """A run of the warehouse over source files of the raw tables. Their labels are not cleansed, so the
+    published raw contract stops it."""
+    path = new_path(spark, "warehouse")
+    raw = {
+        "crm_cust_info": raw_customers, "crm_prd_info": raw_products, "crm_sales_details": raw_sales,
+        "erp_loc_a101": raw_locations, "erp_cust_az12": raw_demographics, "erp_px_cat_g1v2": raw_categories,
+    }
+    for name, make in raw.items():
+        write_csv(make(spark, sf), f"{path}/source/{SOURCE_FILES[name]}")
+    try:
+        Warehouse(spark, f"{path}/source", f"{path}/house").build("run")
+    except StepFailed as stopped:
+        return stopped
+    raise RuntimeError("the raw contract was kept")
+
+
 QUERIES = {
+    "pipeline_run_log": lambda spark, sf: stopped_run(spark, sf).log.select("pos", "step", "state"),
+    "ops_step_alert": lambda spark, sf: stopped_run(spark, sf).alert.select("step", "status"),
     "retail_silver_customers": _table("silver.crm_cust_info"),
     "retail_silver_products": _table("silver.crm_prd_info"),
     "retail_silver_sales": _table("silver.crm_sales_details"),
@@ -291,6 +314,14 @@ _PUBLISHED_SQL = f"""
 
 SQL = {
     "contract_published": _PUBLISHED_SQL,
+    "pipeline_run_log": f"""
+        SELECT CAST(pos AS INTEGER) AS pos, step, state
+        FROM (VALUES (0, 'define'), (1, 'load_bronze'), (2, 'contract_bronze')) s(pos, step),
+             (VALUES ('running'), ('success'), ('failed')) t(state)
+        WHERE state = 'running'
+           OR (state = 'failed') = (pos = 2 AND EXISTS (SELECT 1 FROM ({_PUBLISHED_SQL}) p WHERE status = 'FAIL'))""",
+    "ops_step_alert": f"""
+        SELECT DISTINCT 'contract_bronze' AS step, status FROM ({_PUBLISHED_SQL}) p WHERE status = 'FAIL'""",
     "retail_silver_customers": CUSTOMERS_SQL,
     "retail_silver_products": PRODUCTS_SQL,
     "retail_silver_sales": SALES_SQL,

@@ -10,6 +10,7 @@ from layerkit.operators.joins import left_join
 from layerkit.operators.keys import surrogate_key
 from layerkit.plans.queries.data import RAW_PARTS_SQL, raw_parts, table
 from layerkit.session import store
+from layerkit.sources.tables import publish_view
 
 
 def gold_current_rows(spark, sf):
@@ -112,7 +113,14 @@ FACT_SQL = f"""
   LEFT JOIN ({DIM_CUSTOMER_SQL}) cu ON o_custkey = cu.customer_id
 """
 
+def gold_view(spark, sf):
+    """Current line items published as a view and read by its name."""
+    publish_view(gold_current_rows(spark, sf), "gold.current_lines")
+    return spark.table("gold_current_lines").where("l_shipdate IS NOT NULL")
+
+
 QUERIES = {
+    "gold_view": gold_view,
     "gold_current_rows": gold_current_rows,
     "gold_dim_customer": gold_dim_customer,
     "gold_dim_product": gold_dim_product,
@@ -120,6 +128,7 @@ QUERIES = {
 }
 
 SQL = {
+    "gold_view": "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem WHERE l_linestatus = 'O' AND l_shipdate IS NOT NULL",
     "gold_current_rows": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM (
           SELECT *, CASE WHEN l_linestatus <> 'O' THEN l_shipdate END AS end_date FROM lineitem) l
