@@ -29,6 +29,9 @@ def surrogate_key(
     Re-reading after a lost executor thus gives the same keys. `tie` decides between rows equal
     in `order_by`.
     """
+    own = {"_at", "_row", "_part", "_before", name.lower()} & {c.lower() for c in df.columns}
+    if own:
+        raise ValueError(f"the rows already have columns {sorted(own)}")
     spark = df.sparkSession
     mode = "error" if path is None else "overwrite"
     path = path or new_path(spark, name)

@@ -99,6 +99,12 @@ def test_surrogate_key_of_nothing(spark):
     assert surrogate_key(skewed(spark, 10).where("id < 0"), ["k"], ["id"]).collect() == []
 
 
+def test_surrogate_key_refuses_its_own_column_names(spark):
+    for name in ("_at", "_Row", "surrogate_key"):
+        with pytest.raises(ValueError, match=name.lower()):
+            surrogate_key(spark.range(3).withColumn(name, F.lit(1)), ["id"], [])
+
+
 def test_surrogate_key_never_gathers_rows(spark, explained):
     assert "SinglePartition" not in explained(surrogate_key(skewed(spark), ["k"], ["id"]))
 
