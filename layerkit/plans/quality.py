@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from layerkit.operators.checks import (
     DuplicateCheck,
     QueryCheck,
@@ -179,8 +181,15 @@ SUITES = {
 }
 
 
-def layer_suites(layer: str) -> dict[str, Suite]:
-    return {t: s for t, s in SUITES.items() if t.startswith(f"{layer}.")}
+def layer_suites(layer: str, growth: int = 1) -> dict[str, Suite]:
+    """The layer's suites, with the published ceilings of row counts times `growth`."""
+
+    def grown(e):
+        most = e.kwargs.get("max_value") if e.column is None else None
+        return e if most is None or growth == 1 else replace(e, kwargs={**e.kwargs, "max_value": most * growth})
+
+    wanted = {t: s for t, s in SUITES.items() if t.startswith(f"{layer}.")}
+    return {t: replace(s, expectations=[grown(e) for e in s.expectations]) for t, s in wanted.items()}
 
 
 _INT = ("int", "bigint")

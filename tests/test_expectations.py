@@ -82,3 +82,13 @@ def test_contract(spark, df, tmp_path):
     assert enforce(df, contract, strict=False).first().status == "FAIL"
     good = Contract("g", {"code": Field(("string",), unique=True)})
     assert enforce(df, good).first().message == "Validation successful"
+
+
+def test_published_row_ceilings_grow_on_demand():
+    from layerkit.plans import quality
+
+    table = "silver.crm_prd_info"
+    assert quality.layer_suites("silver")[table] == quality.SUITES[table]
+    grown = quality.layer_suites("silver", 100)[table].expectations
+    assert grown[0].kwargs == {"min_value": 100, "max_value": 1_000_000}
+    assert grown[1:] == quality.SUITES[table].expectations[1:]
