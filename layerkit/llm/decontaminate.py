@@ -3,7 +3,8 @@
 Every run of 13 words of a benchmark item is a window; a shorter item is one window as it stands. The
 windows, once each, form a hash set that is broadcast if its measured size allows and joined by a
 shuffle if not. Documents are scanned word by word: each place hashes the words ahead and probes the
-set, and a hit counts once the words themselves are equal.
+set, and a hit counts once the words themselves are equal. Of what a shuffle moves, a row is a place
+with the words ahead of it, never a whole text.
 """
 
 from __future__ import annotations
@@ -86,16 +87,25 @@ def scan(
         *[column(docs, k).alias(k) for k in keys], text1.alias("text1"), text2.alias("text2"),
         words_of(value).alias("words"),
     )
-    rows = _probes(rows, sizes)
+    probes, facts_of = _probes(rows, sizes), [*keys, "text1", "text2", "n_words"]
     table = found.withColumnRenamed("size", "length")
-    table = F.broadcast(table) if facts["bytes"] <= broadcast_bytes else table
-    hit = (F.col("probe") == F.col("hash")) & (F.col("window") == _ahead())
-    own = F.col("step") == F.size("words") * len(sizes)
-    met = rows.join(table, hit, "left").where(own | F.col("hash").isNotNull())
-    met = met.select(
-        *keys, "text1", "text2", "n_words", own.cast("bigint").alias("own"),
-        F.when(F.col("hash").isNotNull(), F.struct("at", F.col("length").alias("size"))).alias("span"), "items",
-    )
+    span = F.struct("at", F.col("length").alias("size"))
+    if facts["bytes"] <= broadcast_bytes:
+        hit = (F.col("probe") == F.col("hash")) & (F.col("window") == _ahead())
+        own = F.col("step") == F.size("words") * len(sizes)
+        met = probes.join(F.broadcast(table), hit, "left").where(own | F.col("hash").isNotNull()).select(
+            *facts_of, own.cast("bigint").alias("own"), F.when(F.col("hash").isNotNull(), span).alias("span"), "items",
+        )
+    else:
+        places = probes.where("probe is not null").select(*facts_of, "at", "probe", _ahead().alias("ahead"))
+        hits = places.join(table, (F.col("probe") == F.col("hash")) & (F.col("window") == F.col("ahead")))
+        hits = hits.select(*facts_of, F.lit(0).cast("bigint").alias("own"), span.alias("span"), "items")
+        own = rows.select(
+            *facts_of[:-1], F.size("words").cast("bigint").alias("n_words"), F.lit(1).cast("bigint").alias("own"),
+            F.lit(None).cast(hits.schema["span"].dataType).alias("span"),
+            F.lit(None).cast(hits.schema["items"].dataType).alias("items"),
+        )
+        met = own.union(hits)
     return met.groupBy(*keys, "text1", "text2").agg(
         F.sum("own").alias("copies"), F.max("n_words").alias("n_words"),
         F.array_sort(F.collect_set("span")).alias("spans"),

@@ -397,6 +397,21 @@ def test_contamination(spark, contaminated, broadcast):
     assert not any(n in got._jdf.queryExecution().toString() for n in ("Python", "Arrow", "Pandas"))
 
 
+def test_windows_too_large_to_broadcast_move_no_whole_text(spark, contaminated, explained):
+    docs, items = contaminated
+    frame_ = spark.createDataFrame(docs, "doc_id bigint, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = decontaminate.contamination(frame_, bench_frame(spark, items), broadcast_bytes=-1)
+        plan = explained(got)
+        assert Counter(map(tuple, got.collect())) == brute_contamination(docs, items)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plan)
+    assert len(moved) >= 3 and any("ahead#" in m for m in moved)
+    assert not any("words#" in m.replace("n_words#", "") for m in moved)
+
+
 def test_clean_documents_and_cut_spans(spark, contaminated):
     docs, items = contaminated
     given = frame(spark, [(d, t, None, None) for d, t in docs])
