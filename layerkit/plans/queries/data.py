@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_layouts: dict[tuple[str, str], T.StructType] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Its layout is taken from the files once per application, since inferring it
+    is a job of its own every time."""
+    path = f"{sf}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _layouts:
+        _layouts[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_layouts[known]).parquet(path)
 
 
 def raw_orders(spark: SparkSession, sf: str) -> DataFrame:

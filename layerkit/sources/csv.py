@@ -55,9 +55,9 @@ def count_csv_rows(spark: SparkSession, folder: str, multi_line: bool = False) -
         lines = reader.csv(folder, **options)
     else:
         lines = spark.read.text(folder, **options)
-    # the listing Spark made to plan the scan, empty files included
-    files = spark.createDataFrame([(f,) for f in lines.inputFiles()], "path string")
-    counts = lines.groupBy(F.input_file_name().alias("at")).agg(F.count(F.lit(1)).alias("lines"))
+    # a row per file, empty ones included, whose content is not read
+    files = spark.read.format("binaryFile").options(**options).load(folder)
+    files = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"))
+    counts = lines.groupBy(F.col("_metadata.file_path").alias("at")).agg(F.count(F.lit(1)).alias("lines"))
     rows = F.greatest(F.coalesce("lines", F.lit(0)) - 1, F.lit(0)).cast("bigint")
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.join(counts, files.path == counts["at"], "left").select("path", name.alias("file"), rows.alias("n"))
+    return files.join(counts, files["path"] == counts["at"], "left").select("path", "file", rows.alias("n"))
