@@ -1,6 +1,6 @@
 """Secret scan with a random forest that removes false findings, in DataFrame operations.
 
-Candidates are long runs of the characters that keys are written in. A forest over their length, the
+Candidates are runs of the characters that keys are written in. A forest over their length, the
 changes between kinds of characters, how much of them a dictionary covers, the path they are found
 under and the words around them tells secrets from other long strings. It is trained on a bounded
 sample of labelled findings; the dictionary is counted over all texts.
@@ -16,11 +16,18 @@ from pyspark.sql import functions as F
 
 from layerkit.llm.common import column, stored
 
-_KEY = r"A-Za-z0-9+/_=\-"
-#: A run of key characters that is long enough to be a secret.
-CANDIDATE = rf"(?<![{_KEY}])[{_KEY}]{{16,}}+"
+_KEY = r"A-Za-z0-9+/_\-"
+#: Shortest candidates: anywhere, and behind '=' or ':'. Below them the forest has no say.
+SHORTEST, SHORTEST_ASSIGNED = 8, 4
+#: A run of key characters, with '=' as padding at its end only: name=value is a name and a value.
+CANDIDATE = (
+    rf"(?<![{_KEY}])(?:[{_KEY}]{{{SHORTEST},}}+|(?<=[=:]\s{{0,4}}[\"'`]?)[{_KEY}]{{{SHORTEST_ASSIGNED},}}+)"
+    rf"(?:={{1,2}}(?![{_KEY}=]))?"
+)
 #: Characters of text looked at before and after a candidate.
 AROUND = 48
+#: So many candidates, each with a gap of a character at least, hold `AROUND` characters.
+_NEAR = -(-AROUND // (SHORTEST_ASSIGNED + 1))
 #: Words in the dictionary, the most frequent ones of three to eight letters.
 DICTIONARY = 512
 #: The most labelled findings the forest is trained on.
@@ -48,14 +55,21 @@ def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> l
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """(doc_id, path, ordinal, candidate, before, after): every candidate of every whole text."""
+    """(doc_id, path, ordinal, candidate, before, after): every candidate of every whole text, with
+    what stands around it in the text, other candidates included."""
     value = column(docs, text)
     rows = docs.select(
         column(docs, doc_id).alias("doc_id"), column(docs, path).cast("string").alias("path"),
         F.regexp_extract_all(value, F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split(value, CANDIDATE, -1).alias("gaps"),
-    )
-    rows = rows.where(F.size("found") > 0).select("*", F.posexplode("found").alias("ordinal", "candidate"))
-    before, after = F.col("gaps")[F.col("ordinal")], F.col("gaps")[F.col("ordinal") + 1]
+    ).where(F.size("found") > 0)
+    # gap, candidate, gap, candidate ... gap: the text in order
+    pairs = F.zip_with("gaps", "found", lambda gap, one: F.array(gap, F.coalesce(one, F.lit(""))))
+    rows = rows.select("doc_id", "path", "found", F.flatten(pairs).alias("pieces"))
+    rows = rows.select("*", F.posexplode("found").alias("ordinal", "candidate"))
+    place = F.col("ordinal") * 2 + 2
+    first = F.greatest(F.lit(1), place - 1 - 2 * _NEAR)
+    before = F.array_join(F.slice("pieces", first, place - first), "")
+    after = F.array_join(F.slice("pieces", place + 1, 2 * _NEAR + 1), "")
     return rows.select(
         "doc_id", "path", F.col("ordinal").cast("bigint").alias("ordinal"), "candidate",
         F.right(before, F.lit(AROUND)).alias("before"), F.left(after, F.lit(AROUND)).alias("after"),
@@ -66,6 +80,18 @@ def _count(text: str, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("double")
 
 
+def _any_of(words: list[str]) -> str:
+    """A pattern for the longest of the words at a place, as a tree of their letters."""
+    ends = "" in words
+    heads: dict[str, list[str]] = {}
+    for word in sorted(w for w in words if w):
+        heads.setdefault(word[0], []).append(word[1:])
+    if not heads:
+        return ""
+    tree = "|".join(head + _any_of(tails) for head, tails in heads.items())
+    return f"(?:{tree})" + ("?" if ends else "")
+
+
 def with_features(found: DataFrame, words: list[str]) -> DataFrame:
     """`found` with the columns of `FEATURES`; shares are of the candidate's length."""
     size = F.length("candidate").cast("double")
@@ -74,8 +100,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         ("letter_digit", "[A-Za-z](?=[0-9])"), ("digit_letter", "[0-9](?=[A-Za-z])"),
         ("case_changes", "[a-z](?=[A-Z])|[A-Z](?=[a-z])"),
     )}
-    known = "|".join(sorted(words, key=lambda w: (-len(w), w)))
-    rest = F.regexp_replace(F.lower("candidate"), known, "") if words else F.lower("candidate")
+    rest = F.regexp_replace(F.lower("candidate"), _any_of(words), "") if words else F.lower("candidate")
     flag = lambda name, pattern: F.rlike(F.coalesce(F.col(name), F.lit("")), F.lit(pattern)).cast("double")
     values = here | {
         "n_chars": size,

@@ -591,6 +591,34 @@ def test_secrets(spark):
     assert not any(r["is_secret"] for r in got if r["doc_id"] and r["doc_id"] >= 200)
 
 
+def test_candidates_of_every_form_keep_their_context(spark):
+    key = "abcdEFGH1234abcdEFGH1234ab=="
+    texts = {
+        'password = "hunter2x9"': "hunter2x9", "API_KEY=sk_live_abcdEFGH1234 x": "sk_live_abcdEFGH1234",
+        f'aws_secret_access_key = "{key}"': key, "https://x.y/?page=2&pin=1234&lang=en": "1234", "a=b, password: qwertzui.": "qwertzui",
+    }
+    found = secret_forest.candidates(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]))
+    got = {(r["doc_id"], r["candidate"]): r for r in secret_forest.with_features(found, []).collect()}
+    for i, (text, value) in enumerate(texts.items()):
+        row, place = got[i, value], text.index(value)
+        assert (row["before"], row["after"]) == (text[max(0, place - 48) : place], text[place + len(value) :][:48])
+        assert row["assigned"] == 1 and (row["credential_before"] == 1 or value == "1234")
+
+
+def test_context_is_the_text_around(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["=", ":", " ", '"', "é", "ab", "Ab1_-", "xyz/9+", "=="]) for _ in range(400)) for _ in range(30)]
+    got = secret_forest.candidates(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()
+    assert len(got) > 300
+    for i, text in enumerate(texts):
+        end = 0
+        for r in sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["ordinal"]):
+            places = [m for m in range(end, len(text)) if text.startswith(r["candidate"], m)]
+            place = next(m for m in places if text[max(0, m - 48) : m] == r["before"])
+            end = place + len(r["candidate"])
+            assert text[end : end + 48] == r["after"]
+
+
 def test_given_labels_decide(spark):
     rows = [(i, f"x {'ab1' * (6 + i % 5)} y {'q' * 20} z", "en", "p") for i in range(40)]
     labels = spark.createDataFrame([(i, k, 1 - k) for i in range(40) for k in (0, 1)], "doc_id bigint, ordinal bigint, label int")
