@@ -2,8 +2,8 @@
 
 Candidates are runs of the characters that keys are written in. A forest over their length, the
 changes between kinds of characters, how much of them a dictionary covers, the path they are found
-under and the words around them tells secrets from other long strings. It is trained on a bounded
-sample of labelled findings; the dictionary is counted over all texts.
+under and the words around them tells secrets from other strings. It is trained on a bounded sample
+of judged findings, or on planted ones; the dictionary is counted over all texts.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.llm.common import column, stored
@@ -32,6 +32,8 @@ _NEAR = -(-AROUND // (SHORTEST_ASSIGNED + 1))
 DICTIONARY = 512
 #: The most labelled findings the forest is trained on.
 TRAIN_ROWS = 20_000
+#: Planted texts to train on where no judged findings are given.
+PLANTED = 12_000
 TREES, DEPTH = 24, 6
 THRESHOLD = 0.5
 
@@ -39,9 +41,28 @@ CREDENTIAL = r"(?i)(token|secret|passw|passphrase|api.?key|access.?key|private.?
 HARMLESS = r"(?i)(example|sample|dummy|placeholder|commit|revision|digest|checksum|md5|sha\d|uuid|version)"
 TEST_PATH = r"(?i)(test|example|sample|mock|fixture|doc)"
 
+NAMED = CREDENTIAL + r"[\w.\-]{0,24}[\"'`]?\s{0,4}:?[=:]\s{0,4}[\"'`]?$"
+
+_PLANTED_WORDS = ["hunter", "dragon", "summer", "monkey", "soleil", "garten", "correct", "horse", "battery", "ciudad", "tiger", "welcome"]
+_PLANTED_NAMES = [
+    "password", "Password", "passwd", "DB_PASSWORD", "token", "access_token", "auth_token", "api_key", "API_KEY", "apiKey", "secret",
+    "client_secret", "SECRET_KEY", "aws_secret_access_key", "AWS_ACCESS_KEY_ID", "private_key", "passphrase", "credential",
+]
+_PLANTED_FREE = ["name", "title", "count", "id", "path", "file", "order", "phone", "url", "type", "number", "description"]
+_PLANTED_HARMLESS = ["commit", "sha256", "md5", "checksum", "digest", "revision", "uuid", "version", "example", "sample", "MD5", "Commit"]
+_PLANTED_STANDINS = [
+    "your_token_here", "your-password", "REPLACE_ME_NOW", "xxxxxxxxxxxx", "get_password", "settings", "process", "read_secret_file",
+    "placeholder", "example-token", "required", "undefined", "--------", "config/credentials",
+]
+_PLANTED_PROSE = [
+    "", "The report was sent on Monday and nobody answered. ", "we wait for the others\n", "Das Haus am See ist seit Jahren verkauft, ",
+    "la maison de la rue est grande et vieille. ", "el informe fue enviado ayer por la tarde; ", "x = 1\n", "# settings\n",
+]
+
 FEATURES = (
     "n_chars", "digits", "lowers", "uppers", "hexes", "marks", "letter_digit", "digit_letter", "case_changes",
-    "distinct_chars", "covered", "assigned", "quoted", "credential_before", "harmless_before", "credential_after",
+    "distinct_chars", "covered", "assigned", "quoted", "named", "credential_before", "harmless_before", "credential_after",
+    "credential_inside", "names",
     "words_before", "test_path", "path_depth",
 )
 
@@ -101,16 +122,24 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         ("case_changes", "[a-z](?=[A-Z])|[A-Z](?=[a-z])"),
     )}
     rest = F.regexp_replace(F.lower("candidate"), _any_of(words), "") if words else F.lower("candidate")
-    flag = lambda name, pattern: F.rlike(F.coalesce(F.col(name), F.lit("")), F.lit(pattern)).cast("double")
+    # lower case once is cheaper than patterns that ignore case
+    low = lambda name: F.lower(F.coalesce(F.col(name), F.lit("")))
+    says = lambda name, pattern: F.rlike(low(name), F.lit(pattern.replace("(?i)", "")))
+    flag = lambda name, pattern: says(name, pattern).cast("double")
+    sign = lambda name: F.contains(name, F.lit("=")) | F.contains(name, F.lit(":"))
+    assigned = sign(F.col("before")) & says("before", r"[=:]\s*[\"'`]?$")
     values = here | {
         "n_chars": size,
         "distinct_chars": F.size(F.array_distinct(F.split("candidate", ""))) / size,
         "covered": F.lit(1.0) - F.length(rest) / size,
-        "assigned": flag("before", r"[=:]\s*[\"'`]?$"),
+        "assigned": assigned.cast("double"),
         "quoted": flag("before", "[\"'`]$") * flag("after", "^[\"'`]"),
+        "named": F.when(assigned, flag("before", NAMED)),
         "credential_before": flag("before", CREDENTIAL),
         "harmless_before": flag("before", HARMLESS),
         "credential_after": flag("after", CREDENTIAL),
+        "credential_inside": flag("candidate", CREDENTIAL),
+        "names": F.when(sign(F.col("after")), flag("after", r"^[\"'`]?\s{0,4}:?[=:]")),
         "words_before": _count("before", r"[\p{L}]{2,}+"),
         "test_path": flag("path", TEST_PATH),
         "path_depth": F.coalesce(_count("path", "/"), F.lit(0.0)),
@@ -118,25 +147,77 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
     return found.select("*", *[F.coalesce(values[f], F.lit(0.0)).alias(f) for f in FEATURES])
 
 
-def labelled(featured: DataFrame) -> DataFrame:
-    """Findings that need no judge, with `label`: 1 for a long mixed run assigned to the name of a
-    credential, 0 for plain words, plain numbers and strings announced as something harmless."""
-    mixed = (F.col("letter_digit") > 0) & (F.col("digit_letter") > 0)
-    named = (F.col("assigned") == 1) & (F.col("credential_before") == 1) & (F.col("harmless_before") == 0)
-    plain = (F.col("digits") == 0) | (F.col("digits") == 1) | ((F.col("harmless_before") == 1) & (F.col("assigned") == 0))
-    label = F.when(mixed & named, 1.0).when(plain, 0.0)
-    return featured.withColumn("label", label).where("label is not null")
+def _pick(seed: int, values: list) -> Column:
+    """One of the values by a hash of the row's id."""
+    options = F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values])
+    return F.get(options, F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(len(values))).cast("int"))
+
+
+def _cut(text: Column, seed: int, least: int, most: int) -> Column:
+    return F.left(text, F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(most - least + 1)).cast("int") + least)
+
+
+def planted(spark: SparkSession, rows: int = PLANTED) -> DataFrame:
+    """(doc_id, text, source, value, secret): made-up texts whose findings are judged because it is
+    known what was put in: `value` is a secret or not, every other candidate is none."""
+    some = spark.range(rows)
+    hexes = F.sha2(F.concat(F.lit("a"), F.col("id")).cast("binary"), 256)
+    b64 = F.base64(F.unhex(F.sha2(F.concat(F.lit("b"), F.col("id")).cast("binary"), 256)))
+    b62 = F.regexp_replace(b64, "[+/=]", "")
+    letters, digits = F.lower(F.regexp_replace(b64, "[^A-Za-z]", "")), F.regexp_replace(hexes, "[a-f]", "")
+    word, other = _pick(1, _PLANTED_WORDS), _pick(2, _PLANTED_WORDS)
+    uuid = F.regexp_replace(F.left(hexes, F.lit(32)), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
+    strong = _pick(3, [
+        F.left(hexes, F.lit(32)), F.left(hexes, F.lit(40)), hexes, b64, _cut(b62, 4, 16, 40),
+        F.concat(_pick(5, ["sk_live_", "ghp_", "xoxb-", "key-", "glpat-"]), _cut(b62, 6, 16, 36)),
+        F.concat(F.lit("AKIA"), F.upper(F.left(b62, F.lit(16)))),
+    ])
+    short = _pick(7, [_cut(b62, 8, 8, 15), F.concat(word, _cut(digits, 9, 1, 4), _cut(b62, 10, 0, 4)), F.concat(F.initcap(word), F.lit("_"), _cut(digits, 9, 2, 5))])
+    plain = _pick(11, [_cut(digits, 12, 4, 16), _cut(letters, 13, 8, 20), F.concat(word, other)])
+    name, free, harmless = _pick(14, _PLANTED_NAMES), _pick(15, _PLANTED_FREE), _pick(16, _PLANTED_HARMLESS)
+    given = _pick(17, ['# = "|"', "# = '|'", '#: "|"', "#=|", "#: |", '"#": "|"', "?page=2&#=|&lang=en", '# := "|"', "export #=|\n", "--#=| ", "#:|"])
+    told = _pick(18, ["Authorization: Bearer |", "the # is |.", "# |", '"|"', "`|`", " | "])
+    prose = _pick(19, ["|", "|.", "|,", "(|)", "Note: |.", "the # was | and", "# of the |", "the | #"])
+    called = _pick(20, ["# |", "#: |", '# = "|"', "#=|", '"#": "|"', "# | "])
+    used = _pick(21, ["# = |(", "#: |", "# = |.get", '# = "|"', "#=|"])
+    kinds = [
+        # (secret, times, value, text around, name)
+        (1, 5, strong, given, name), (1, 5, short, given, name), (1, 5, plain, given, name), (1, 3, strong, told, name),
+        (0, 5, _pick(22, [hexes, F.left(hexes, F.lit(40)), F.left(hexes, F.lit(32)), uuid, b64]), called, harmless),
+        (0, 5, _pick(23, [letters, F.initcap(letters), F.concat(word, other)]).substr(F.lit(1), F.pmod("id", F.lit(17)).cast("int") + 8), prose, name),
+        (0, 3, _cut(digits, 24, 8, 20), prose, free), (0, 3, _pick(25, [plain, F.concat(word, F.lit("_"), other), F.concat(F.lit("/usr/"), word, F.lit("/"), other)]), given, free),
+        (0, 2, _pick(26, _PLANTED_STANDINS), used, name),
+    ]
+    turns = [k for k, kind in enumerate(kinds) for _ in range(kind[1])]
+    kind = F.get(F.array(*[F.lit(k) for k in turns]), F.pmod("id", F.lit(len(turns))).cast("int"))
+
+    def of(column: int) -> Column:
+        return F.get(F.array(*[F.lit(k[column]) if isinstance(k[column], int) else k[column] for k in kinds]), kind)
+
+    some = some.select("id", of(0).alias("secret"), of(2).alias("value"), of(3).alias("form"), of(4).alias("name"))
+    text = F.replace(F.replace("form", F.lit("#"), F.col("name")), F.lit("|"), F.col("value"))
+    return some.select(
+        F.col("id").alias("doc_id"), F.concat(_pick(27, _PLANTED_PROSE), text, F.lit(" "), _pick(28, _PLANTED_PROSE)).alias("text"),
+        _pick(29, ["src", "docs/web", "a/b/c", "test/unit", "mail"]).alias("source"), "value", "secret",
+    )
+
+
+def labelled(spark: SparkSession, words: list[str], rows: int = PLANTED) -> DataFrame:
+    """Findings of the planted texts with `FEATURES` and `label`. No label follows from a feature."""
+    texts = planted(spark, rows)
+    known = texts.select(F.col("doc_id").alias("_doc_id"), "value", "secret")
+    found = with_features(candidates(texts), words)
+    found = found.join(F.broadcast(known), F.col("doc_id") == F.col("_doc_id"))
+    return found.withColumn("label", F.when(F.col("candidate") == F.col("value"), F.col("secret")).otherwise(0).cast("double"))
 
 
-def train(findings: DataFrame, rows: int = TRAIN_ROWS) -> RandomForestClassificationModel | float:
+def train(findings: DataFrame, rows: int = TRAIN_ROWS) -> RandomForestClassificationModel | None:
     """Forest over rows with `FEATURES` and `label`, at most `rows` of them chosen by hash, half of
-    them of either label if there are so many. Without true findings nothing is one, without
-    false ones everything: then the answer is that score."""
+    them of either label if there are so many. None without findings of both labels: nothing is
+    decided then."""
     counts = {r["label"]: r["n"] for r in findings.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not counts.get(1.0):
-        return 0.0 if counts else 1.0
-    if not counts.get(0.0):
-        return 1.0
+    if not counts.get(1.0) or not counts.get(0.0):
+        return None
     mark = F.xxhash64(F.lit(3), *FEATURES, "doc_id", "ordinal")
     parts = []
     for label, n in sorted(counts.items()):
@@ -156,10 +237,10 @@ def _assembled(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
 
 
-def judged(featured: DataFrame, model: RandomForestClassificationModel | float) -> DataFrame:
-    """`featured` with `score`, the forest's share of votes for a secret."""
-    if isinstance(model, float):
-        return featured.withColumn("score", F.lit(model))
+def judged(featured: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
+    """`featured` with `score`, the forest's share of votes for a secret; null without a forest."""
+    if model is None:
+        return featured.withColumn("score", F.lit(None).cast("double"))
     scored = model.transform(_assembled(featured))
     return scored.withColumn("score", vector_to_array("chances")[1]).drop("features", "votes", "chances", "verdict")
 
@@ -170,14 +251,15 @@ def findings(
     """One row per candidate: `doc_id`, `ordinal` (from 0 within its text), `candidate_sha256`,
     `n_chars`, `covered`, `score` and `is_secret`.
 
-    `labels` (doc_id, ordinal, label) are judged findings to train on; without them those that need no
-    judge are taken. Null and empty texts have no candidates; null paths and ids are allowed;
+    `labels` (doc_id, ordinal, label) are judged findings to train on; without them those of planted
+    texts are taken. If the labels hold no secret or nothing else, `score` and `is_secret` are null:
+    undecided. Null and empty texts have no candidates; null paths and ids are allowed;
     repeated rows give repeated findings. An empty table gives no rows.
     """
     words = dictionary(docs, text)
-    found = stored(with_features(candidates(docs, doc_id, text, path), words), "findings")
+    found = stored(with_features(candidates(docs, doc_id, text, path), words).drop("before", "after"), "findings")
     if labels is None:
-        known = labelled(found)
+        known = stored(labelled(docs.sparkSession, words), "planted")
     else:
         given = labels.select(*[column(labels, c).alias(f"_{c}") for c in ("doc_id", "ordinal", "label")])
         known = found.join(

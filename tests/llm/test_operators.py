@@ -626,6 +626,18 @@ def test_given_labels_decide(spark):
     assert all(r["is_secret"] == (r["ordinal"] == 0) for r in got) and len(got) == 80
     only = secret_forest.findings(frame(spark, rows), labels=labels.where("label = 0")).collect()
     assert len(only) == 80 and not any(r["is_secret"] for r in only)
+    assert all(r["score"] is None and r["is_secret"] is None for r in only)
+
+
+def test_secrets_of_several_forms_without_labels(spark):
+    rng = random.Random(17)
+    values = ["".join(rng.choice(a) for _ in range(n)) for a, n in (("abcdefgh", 12), ("0123456789", 9), ("abc012XYZ", 30), ("0a1b2c3d", 40))]
+    forms = ['smtp_password = "{}"', "STRIPE_API_KEY={}", "https://h.x/p?a=1&access_token={}&z=2", "google_client_secret_key: '{}'"]
+    texts = [(f"the note of the day and {f.format(v)} and then", v) for f in forms for v in (*values, "hunter2x9")]
+    texts += [(f"see the commit {values[3]} of the fix", None), (f"see the {values[0]} of it", None), (f"call {values[1]} now", None)]
+    got = secret_forest.findings(frame(spark, [(i, t, "en", "s") for i, (t, _) in enumerate(texts)])).collect()
+    found = {(r["doc_id"], r["candidate_sha256"]) for r in got if r["is_secret"]}
+    assert found == {(i, hashlib.sha256(v.encode()).hexdigest()) for i, (_, v) in enumerate(texts) if v}
 
 
 # ---- all
