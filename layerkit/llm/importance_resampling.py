@@ -4,8 +4,8 @@ Two bag-of-n-grams models over hashed word uni- and bigrams, one counted over al
 the texts labelled good, give every text the log ratio of its probabilities. With a Gumbel variate
 added, the texts of the largest keys are a sample without replacement in proportion to the ratios.
 
-The ratio of a whole text grows with its length and would drown the variate, so a text longer than
-`REFERENCE` n-grams counts as one of that length with the same mean.
+The ratio of a whole text grows with its length, and with it the variate counts for less. On demand
+a text longer than a given number of n-grams counts as one of that length with the same mean.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from layerkit.llm.common import column, stored, text_slices
 from layerkit.llm.words import WORDPUNCT, chained, places, sums, word_hashes
 
 BUCKETS = 10_000
-REFERENCE = 128
 _DIGIT = 16
 
 
@@ -75,7 +74,7 @@ def _ordered(keys: np.ndarray) -> np.ndarray:
     return np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
 
 
-def weigh(docs: DataFrame, ratios: np.ndarray, seed: int) -> DataFrame:
+def weigh(docs: DataFrame, ratios: np.ndarray, seed: int, reference: int | None = None) -> DataFrame:
     """(doc_id, n_grams, log_weight, key, place) of every one of `docs` (doc_id, text); `place`
     has the order of `key`."""
     mark = F.xxhash64(F.lit(seed), "doc_id", F.col("text").isNull(), "text")
@@ -91,7 +90,8 @@ def weigh(docs: DataFrame, ratios: np.ndarray, seed: int) -> DataFrame:
                 words, n_words, pairs, n_pairs = hashed_grams(run)
                 n = n_words + n_pairs
                 weight = sums(ratios[words], n_words) + sums(ratios[pairs], n_pairs)
-                weight *= REFERENCE / np.maximum(n, REFERENCE)
+                if reference is not None:
+                    weight *= reference / np.maximum(n, reference)
                 part = batch.slice(start, len(run))
                 mark = part.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
                 chance = ((mark >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
@@ -128,13 +128,14 @@ def place_of(rows: DataFrame, rank: int) -> int | None:
 
 def resample(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id",
-    quality: str = "quality", share: float | None = None, seed: int = 0,
+    quality: str = "quality", share: float | None = None, seed: int = 0, reference: int | None = None,
 ) -> DataFrame:
     """One row per document: `doc_id`, `n_grams`, `log_weight`, `key`, `kept`. The `share` of all
     documents with the largest keys is kept, and whatever ties with the last of them; without a
     given one, the share of quality 1 among the labels, or all documents if there are none.
 
-    A document is a target if any label of its id has quality 1. Null texts have no n-grams and
+    `log_weight` is the log ratio of the whole text; with `reference`, that of a longer text is
+    scaled to so many n-grams. A document is a target if any label of its id has quality 1. Null texts have no n-grams and
     weight 0. Repeated rows have equal keys and stay or go together. Without targets the target
     model is uniform; without documents there are no rows.
     """
@@ -145,7 +146,7 @@ def resample(
         mean = labels.agg(F.avg((column(labels, quality) == 1).cast("double"))).first()[0]
         share = 1.0 if mean is None else mean
     ratios = log_ratios(*count_grams(rows, good))
-    weighed = stored(weigh(rows, ratios, seed), "weights")
+    weighed = stored(weigh(rows, ratios, seed, reference), "weights")
     last = place_of(weighed, round(share * weighed.count()))
     kept = F.lit(False) if last is None else F.col("place") >= last
     return weighed.select("doc_id", "n_grams", "log_weight", "key", kept.alias("kept"))

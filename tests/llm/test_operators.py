@@ -535,6 +535,17 @@ def test_weights_are_log_ratios_of_counted_grams(spark):
     assert got[1]["log_weight"] == pytest.approx(2 * part(2, 2) + part(1, 2) + 2 * part(1, 1))
 
 
+def test_long_texts_keep_their_whole_ratio(spark):
+    docs = frame(spark, [(1, "a " * 300, None, None), (2, "b " * 300, None, None)])
+    labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
+    size = importance_resampling.BUCKETS
+    part = lambda target, raw: np.log((target + 1) / (599 + size)) - np.log((raw + 1) / (1198 + size))
+    want = 300 * part(300, 300) + 299 * part(299, 299)
+    for reference, scale in ((None, 1), (128, 128 / 599)):
+        got = {r["doc_id"]: r for r in importance_resampling.resample(docs, labels, reference=reference).collect()}
+        assert got[1]["n_grams"] == 599 and got[1]["log_weight"] == pytest.approx(want * scale)
+
+
 # ---- languages
 
 def test_languages(spark, sf):
