@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerkit.session import few_rows
+
 # read options under which an unquoted empty cell is NULL, "" is the empty string, quotes are
 # escaped by doubling, columns map by position and any bad cell fails the load
 CSV_LOAD = {
@@ -55,9 +57,10 @@ def count_csv_rows(spark: SparkSession, folder: str, multi_line: bool = False) -
         lines = reader.csv(folder, **options)
     else:
         lines = spark.read.text(folder, **options)
-    # a row per file, empty ones included, whose content is not read
-    files = spark.read.format("binaryFile").options(**options).load(folder)
-    files = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"))
-    counts = lines.groupBy(F.col("_metadata.file_path").alias("at")).agg(F.count(F.lit(1)).alias("lines"))
+    # the listing has empty files too, which a scan leaves out
+    files = few_rows(spark, [(path, path.rsplit("/", 1)[-1]) for path in sorted(set(lines.inputFiles()))], "path string, file string")
+    counts = lines.groupBy(F.input_file_name().alias("at")).agg(F.count(F.lit(1)).alias("lines"))
     rows = F.greatest(F.coalesce("lines", F.lit(0)) - 1, F.lit(0)).cast("bigint")
-    return files.join(counts, files["path"] == counts["at"], "left").select("path", "file", rows.alias("n"))
+    return files.join(counts, files["path"] == counts["at"], "left").select(
+        "path", F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))).alias("file"), rows.alias("n")
+    )
