@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerkit.llm import (
     backoff_lm,
@@ -13,6 +14,7 @@ from layerkit.llm import (
     decontaminate,
     importance_resampling,
     language_id,
+    merkle,
     packed_ids,
     quotient_filter,
     secret_forest,
@@ -73,6 +75,21 @@ def secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_forest.findings(_table(spark, sf, "documents"))
 
 
+def manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row's path in the manifest, and what a tampered copy of a fifth of them folds to."""
+    docs = _table(spark, sf, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    values = [lowered if f == "text" else F.col(f) for f in merkle.FIELDS]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.manifest(docs, also={"tampered": F.when(chosen, merkle.leaf_digest(values))})
+    fold = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    found = found.select(
+        F.col("item").alias("doc_id"), "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        fold.alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_chat_collapse": chat,
     "op2_language_id": language,
@@ -84,6 +101,7 @@ QUERIES = {
     "op8_decontamination": decontamination,
     "op9_backoff_lm": lm_scores,
     "op10_secret_scan": secrets,
+    "op13_merkle_manifest": manifest,
 }
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
