@@ -19,6 +19,7 @@ from layerkit.llm import (
     quotient_filter,
     secret_forest,
     simhash,
+    spelling,
 )
 
 VOCABULARY = "word_bpe_49k.json"
@@ -75,6 +76,15 @@ def secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_forest.findings(_table(spark, sf, "documents"))
 
 
+#: One run in so many loses a letter: misspellings known to be there.
+DROPPED = 97
+
+
+def spellings(spark: SparkSession, sf: str) -> DataFrame:
+    runs = spelling.runs(_table(spark, sf, "documents"), dropped=DROPPED)
+    return spelling.variants(spelling.vocabulary(runs))
+
+
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Every row's path in the manifest, and what a tampered copy of a fifth of them folds to."""
     docs = _table(spark, sf, "documents")
@@ -101,6 +111,7 @@ QUERIES = {
     "op8_decontamination": decontamination,
     "op9_backoff_lm": lm_scores,
     "op10_secret_scan": secrets,
+    "op11_spelling_variants": spellings,
     "op13_merkle_manifest": manifest,
 }
 
