@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from layerkit.llm import (
     backoff_lm,
     chat_collapse,
+    contextual_pii,
     cube_sampling,
     decontaminate,
     importance_resampling,
@@ -85,6 +86,20 @@ def spellings(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(runs))
 
 
+def personal(spark: SparkSession, sf: str) -> DataFrame:
+    found = contextual_pii.personal_data(_table(spark, sf, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, F.lit(k)))).cast("bigint").alias(f"n_{name}")
+        for k, name in enumerate(contextual_pii.KINDS)
+    ]
+    every = F.sort_array(F.concat("base", "learned"))
+    return found.select(
+        "doc_id", *counts, F.sha2(contextual_pii.written(F.col("base")), 256).alias("base_sha256"),
+        contextual_pii.written(every).alias("spans"), F.size("learned").cast("bigint").alias("n_learned"),
+    )
+
+
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Every row's path in the manifest, and what a tampered copy of a fifth of them folds to."""
     docs = _table(spark, sf, "documents")
@@ -112,6 +127,7 @@ QUERIES = {
     "op9_backoff_lm": lm_scores,
     "op10_secret_scan": secrets,
     "op11_spelling_variants": spellings,
+    "op12_contextual_pii": personal,
     "op13_merkle_manifest": manifest,
 }
 

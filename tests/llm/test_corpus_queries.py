@@ -15,7 +15,7 @@ duckdb = pytest.importorskip("duckdb")
 def test_all_are_registered():
     found = driver.queries()
     assert set(QUERIES) | {"pipeline"} <= set(found) and set(SQL) <= set(driver.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
