@@ -29,6 +29,15 @@ def bronze_csv_roundtrip(spark, sf):
     return read_csv(spark, path, rows.schema)
 
 
+def bronze_csv_multiline(spark, sf):
+    """Orders with line breaks, quotes and commas in a cell, through one CSV file."""
+    note = F.concat("o_orderstatus", F.lit('\n"'), "o_orderpriority", F.lit('",\r\n\n'), "o_custkey")
+    rows = table(spark, sf, "orders").select("o_orderkey", note.alias("note"), "o_totalprice")
+    path = new_path(spark, "csv")
+    write_csv(rows.coalesce(1), path)
+    return read_csv(spark, path, rows.schema, multi_line=True)
+
+
 def stream_csv_ingest(spark, sf):
     rows = table(spark, sf, "supplier")
     path = new_path(spark, "drop")
@@ -88,6 +97,7 @@ def silver_trim_dims(spark, sf):
 
 QUERIES = {
     "bronze_csv_roundtrip": bronze_csv_roundtrip,
+    "bronze_csv_multiline": bronze_csv_multiline,
     "stream_csv_ingest": stream_csv_ingest,
     "silver_keep_latest": silver_keep_latest,
     "silver_keep_latest_many": silver_keep_latest_many,
@@ -101,6 +111,10 @@ QUERIES = {
 
 SQL = {
     "bronze_csv_roundtrip": "SELECT * FROM customer",
+    "bronze_csv_multiline": """
+        SELECT o_orderkey, o_totalprice,
+               o_orderstatus || chr(10) || '"' || o_orderpriority || '",' || chr(13) || chr(10) || chr(10) || o_custkey AS note
+        FROM orders""",
     "stream_csv_ingest": "SELECT * FROM supplier",
     "silver_keep_latest": """
         SELECT user_id, event_id, ts, event_type, value FROM (
