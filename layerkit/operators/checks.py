@@ -7,11 +7,13 @@ pre-aggregated group count, and the branches meet as one short row per check.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerkit.session import few_rows
@@ -130,19 +132,31 @@ def issue_rows(spark: SparkSession, check: Check, tables: Tables | None = None)
 
 
 def _issues_by_sql(spark: SparkSession, check: QueryCheck, tables: Tables | None) -> DataFrame:
-    """SQL text reads the catalogue's tables, or the given mapping's, which are views while the
-    statement is planned."""
+    """SQL text reads the catalogue's tables, and the given mapping's under their own names, dotted ones
+    included. The session's views are left alone: the text sees the tables as the names of a WITH clause
+    over views of unique names, which last while the statement is planned."""
     if tables is None:
         return spark.sql(check.issues)
     if callable(tables):
         raise CheckError(f"check {check.name!r} is SQL text and needs its tables by name")
+    views = {name: f"_check_{uuid.uuid4().hex}" for name in tables}
+    text = check.issues.strip().rstrip(";")
+    dotted = sorted((n for n in tables if "." in n), key=len, reverse=True)
+    if dotted:
+        names = "|".join(r"\s*\.\s*".join(map(re.escape, n.split("."))) for n in dotted)
+        # strings, quoted names and comments stay as they are
+        pattern = rf"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/)|(?<![\w.`])({names})(?![\w])"""
+        text = re.sub(
+            pattern, lambda m: m[1] or "`" + re.sub(r"\s", "", m[2]) + "`", text, flags=re.DOTALL | re.IGNORECASE
+        )
+    named = ", ".join(f"`{name}` AS (SELECT * FROM {view})" for name, view in views.items())
     try:
         for name, df in tables.items():
-            df.createOrReplaceTempView(name)
-        return spark.sql(check.issues)
+            df.createOrReplaceTempView(views[name])
+        return spark.sql(f"WITH {named} SELECT * FROM (\n{text}\n)")
     finally:
-        for name in tables:
-            spark.catalog.dropTempView(name)
+        for view in views.values():
+            spark.catalog.dropTempView(view)
 
 
 # --- status -------------------------------------------------------------------------------
@@ -310,28 +324,60 @@ def run_checks(
     policy: Policy | None = None,
 ) -> DataFrame:
     """Like `check_results`, but run now, so that a check failing while it runs becomes an
-    ERROR row too: if the shared job fails, the checks are repeated one by one."""
+    ERROR row too: if the shared job fails, its checks are repeated in halves until those that fail
+    stand alone, about log2(n) more jobs for one among n."""
     policy = policy or tiered()
     numbered = list(enumerate(checks))
-    branches, errors = _branches(spark, numbered, tables)
+    _, errors = _branches(spark, numbered, tables)
     counts: list[tuple] = []
-    try:
-        if branches:
-            counts = [tuple(r) for r in reduce(DataFrame.unionByName, branches).collect()]
-    except Exception:  # noqa: BLE001
-        counts = []
-        for pos, check in numbered:
-            if pos in errors:
-                continue
-            try:
-                alone, _ = _branches(spark, [(pos, check)], tables)
-                counts += [tuple(r) for r in reduce(DataFrame.unionByName, alone).collect()]
-            except Exception as error:  # noqa: BLE001
-                errors[pos] = _reason(error)
+    waiting = [[(pos, c) for pos, c in numbered if pos not in errors]]
+    while waiting:
+        group = waiting.pop()
+        branches, _ = _branches(spark, group, tables)
+        if not branches:
+            continue
+        try:
+            counts += [tuple(r) for r in reduce(DataFrame.unionByName, branches).collect()]
+        except Exception as error:  # noqa: BLE001
+            if len(group) == 1:
+                errors[group[0][0]] = _reason(error)
+            else:
+                half = len(group) // 2
+                waiting += [group[half:], group[:half]]
     rows = _results(spark, numbered, few_rows(spark, counts, _COUNTS), errors, policy).collect()
     return few_rows(spark, [tuple(r) for r in rows], RESULT_SCHEMA)
 
 
+class ObservedChecks:
+    """Row checks of a table counted while its rows go by, typically to where they are written: no scan of
+    their own. `watch` a DataFrame, run one action on what it returns, then ask for `results`."""
+
+    def __init__(self, checks: Sequence[RowCheck]):
+        for check in checks:
+            if not isinstance(check, RowCheck):
+                raise CheckError(f"check {check.name!r} does not look at single rows")
+        self.checks = list(checks)
+        self._seen: list[tuple[Observation, list[tuple[int, RowCheck]]]] = []
+
+    def watch(self, df: DataFrame, table: str) -> DataFrame:
+        """`df` with the checks of `table` counted on the way."""
+        own = [(pos, c) for pos, c in enumerate(self.checks) if c.table == table]
+        seen = Observation(f"checks-{uuid.uuid4().hex}")
+        self._seen.append((seen, own))
+        return df.observe(
+            seen, F.count(F.lit(1)).alias("total"), *[F.count_if(_predicate(c)).alias(f"i{pos}") for pos, c in own]
+        )
+
+    def results(self, spark: SparkSession, policy: Policy | None = None) -> DataFrame:
+        """One row per check, as `check_results` gives it; waits for the watched actions."""
+        counts = [
+            (pos, seen.get["total"], seen.get[f"i{pos}"]) for seen, own in self._seen for pos, _ in own
+        ]
+        missed = set(range(len(self.checks))) - {pos for pos, _, _ in counts}
+        errors = {pos: f"table {self.checks[pos].table!r} was not watched" for pos in missed}
+        return _results(spark, list(enumerate(self.checks)), few_rows(spark, counts, _COUNTS), errors, policy or tiered())
+
+
 def run_check(
     spark: SparkSession,
     layers: Mapping[str, Sequence[Check]],

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,3 +56,42 @@ def surrogate_key(
     place = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     key = (F.col("_before") + place + 1).alias(name)
     return rows.join(F.broadcast(starts), "_part").select(key, *df.columns)
+
+
+def stable_key(
+    df: DataFrame,
+    business: Sequence[str],
+    order_by: Sequence[str],
+    register: str,
+    load: int,
+    name: str = "surrogate_key",
+) -> DataFrame:
+    """Add `name`, a bigint that a business key keeps for good, however many rows arrive later.
+
+    `register` is a folder that holds the keys given out so far, one part per load. Keys of this load
+    that are not in the parts of earlier loads get the numbers after the largest one, without gaps,
+    by `order_by` and then `business`, NULLs last; nothing is renumbered. NULL is a key of its own.
+    A load that is repeated replaces its part and finds the same numbers.
+    """
+    if name in df.columns:
+        raise ValueError(f"the rows already have a column {name!r}")
+    spark = df.sparkSession
+    fields = [df.schema[c] for c in business]
+    layout = T.StructType([*fields, T.StructField(name, T.LongType()), T.StructField("load", T.LongType())])
+    given = spark.read.schema(layout).option("basePath", register).option("ignoreMissingFiles", "true")
+    # the first load finds no folder yet
+    spark.createDataFrame([], T.StructType([*fields, layout[name]])).write.mode("ignore").parquet(f"{register}/load=-1")
+    known = given.parquet(register).where(F.col("load") < load)
+    place = [F.min(F.struct(F.col(c).isNull(), F.col(c))).alias(f"_o{i}") for i, c in enumerate(order_by) if c not in business]
+    wanted = df.groupBy(*business).agg(*place) if place else df.select(*business).distinct()
+    same = reduce(and_, [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in business])
+    new = wanted.alias("n").join(known.alias("k"), same, "left_anti")
+    # the order of a key seen several times is its first
+    ranks = {c: f"_o{i}" for i, c in enumerate(order_by) if c not in business}
+    new = new.select(*business, *[F.col(f"{r}.{c}").alias(f"{r}v") for c, r in ranks.items()])
+    numbered = surrogate_key(new, [f"{ranks[c]}v" if c in ranks else c for c in order_by], business, name)
+    last = known.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]
+    numbered.select(*business, (F.col(name) + last).alias(name)).write.mode("overwrite").parquet(f"{register}/load={load}")
+    keys = given.parquet(register).where(F.col("load") <= load).drop("load")
+    joined = df.alias("n").join(keys.alias("k"), same, "left")
+    return joined.select(F.col(f"k.{name}").alias(name), *[F.col(f"n.{c}").alias(c) for c in df.columns])

@@ -196,6 +196,34 @@ def error_rows(spark, sf):
     return found.select("check_name", "total_records", "issues_found", "status", failed)
 
 
+OBSERVED = tuple(c for c in CHECKS if isinstance(c, C.RowCheck))
+
+
+def dq_observed_metrics(spark, sf):
+    """The row checks counted while their tables are written."""
+    get, watched = tables(spark, sf), C.ObservedChecks(OBSERVED)
+    path = new_path(spark, "observed")
+    for name in dict.fromkeys(c.table for c in OBSERVED):
+        watched.watch(get(name), name).write.parquet(f"{path}/{name}")
+    return watched.results(spark, C.tiered()).drop("error")
+
+
+SQL_CHECKS = (
+    C.QueryCheck(name="idle_customers", table="silver.customer", severity="low", description="Customers without orders",
+                 issues="""SELECT c.c_custkey FROM silver.customer c LEFT ANTI JOIN silver.orders o ON c.c_custkey = o.o_custkey -- silver.orders"""),
+    C.QueryCheck(name="large_orders", table="silver.orders", severity="medium", description="Orders above 'silver.orders' size",
+                 issues="""WITH big AS (SELECT o_orderkey, o_totalprice FROM silver.orders WHERE silver.orders.o_totalprice > 400000)
+                           SELECT * FROM big WHERE 'silver.orders' IS NOT NULL"""),
+    C.missing("c_name", name="nameless", table="silver.customer", severity="high", description="Customers without a name"),
+)
+
+
+def dq_layer_sql(spark, sf):
+    """Checks written as SQL over tables named by layer."""
+    given = {f"silver.{n}": table(spark, sf, n) for n in ("customer", "orders")}
+    return C.run_checks(spark, SQL_CHECKS, given, C.flat()).drop("error")
+
+
 def yaml_catalogue(spark, sf):
     """Checks and threshold from a YAML file, statements included."""
     catalogue = load_catalogue(str(Path(__file__).with_name("checks.yaml")))
@@ -220,6 +248,8 @@ QUERIES = {
     "dq_orphan_facts": _issues("orphan_facts"),
     "dq_orphan_anti": unknown_products,
     "dq_check_metrics": dq_check_metrics,
+    "dq_observed_metrics": dq_observed_metrics,
+    "dq_layer_sql": dq_layer_sql,
     "dq_single_check": dq_single_check,
     "dq_status_tiered": lambda spark, sf: results(spark, sf, C.tiered()).select(*_STATUS),
     "dq_status_strict": lambda spark, sf: results(spark, sf, C.strict()).select(*_STATUS),
@@ -261,7 +291,15 @@ ISSUE_SQL = {
     "orphan_lines": f"SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM ({RAW_PARTS_SQL}) p WHERE p.end_date IS NULL AND p.p_partkey = l.l_partkey)",
 }
 
+ISSUE_SQL |= {
+    "idle_customers": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)",
+    "large_orders": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 400000",
+    "nameless": "SELECT * FROM customer WHERE c_name IS NULL",
+}
+
 TABLE_SQL = {
+    "silver.customer": "customer",
+    "silver.orders": "orders",
     "labelled_documents": "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     "order_dates": "orders",
     "customer_locations": "customer LEFT JOIN nation ON c_nationkey = n_nationkey",
@@ -279,9 +317,10 @@ _FLAT_SQL = "CASE WHEN clean_pct >= 95 THEN 'PASS' ELSE 'FAIL' END"
 
 
 def results_sql(status, checks=CHECKS, first=0):
+    """SQL of the results of `checks`."""
     counted = " UNION ALL ".join(
         f"""SELECT CAST({first + i} AS INTEGER) AS check_pos, '{c.name}' AS check_name, '{c.table}' AS table_name,
-            '{c.severity}' AS severity, '{c.description}' AS description,
+            '{c.severity}' AS severity, '{c.description.replace("'", "''")}' AS description,
             (SELECT count(*) FROM {TABLE_SQL.get(c.table, c.table)}) AS total_records,
             (SELECT count(*) FROM ({ISSUE_SQL[c.name]}) i) AS issues_found"""
         for i, c in enumerate(checks)
@@ -385,6 +424,8 @@ SQL = {
     "dq_orphan_facts": ISSUE_SQL["orphan_facts"],
     "dq_orphan_anti": ISSUE_SQL["orphan_lines"],
     "dq_check_metrics": results_sql(_TIERED_SQL),
+    "dq_observed_metrics": results_sql(_TIERED_SQL, OBSERVED),
+    "dq_layer_sql": results_sql(_FLAT_SQL, SQL_CHECKS),
     "dq_single_check": results_sql(_FLAT_SQL, (BY_NAME["date_order"],)),
     "dq_status_tiered": _status_sql(_TIERED_SQL),
     "dq_status_strict": _status_sql(_STRICT_SQL),

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from layerkit.functions import prefer
 from layerkit.operators.dedupe import current_rows
 from layerkit.operators.joins import left_join
-from layerkit.operators.keys import surrogate_key
+from layerkit.operators.keys import stable_key, surrogate_key
 from layerkit.plans.queries.data import RAW_PARTS_SQL, raw_parts, table
-from layerkit.session import store
+from layerkit.session import new_path, store
 from layerkit.sources.tables import publish_view
 
 
@@ -37,6 +37,21 @@ def gold_dim_customer(spark, sf):
     return surrogate_key(rows, ["customer_id"], ["customer_number"], "customer_key")
 
 
+LATER_SEGMENT = "BUILDING"
+
+
+def gold_dim_customer_refresh(spark, sf):
+    """Customers loaded twice: first those outside one segment, then all of them. Who was there keeps the key."""
+    register = new_path(spark, "register")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    early = customers.where(F.coalesce(F.col("c_mktsegment") != LATER_SEGMENT, F.lit(True)))
+    first = stable_key(early, ["c_custkey"], ["c_name"], register, 1, "customer_key")
+    first = store(first.select("customer_key", F.col("c_custkey").alias("early_custkey")), "first")
+    second = stable_key(customers, ["c_custkey"], ["c_name"], register, 2, "customer_key")
+    kept = second.withColumnRenamed("customer_key", "key").join(first, F.col("c_custkey") == F.col("early_custkey"), "left")
+    return kept.select(F.col("key").alias("customer_key"), "c_custkey", F.col("customer_key").alias("first_key"))
+
+
 def gold_dim_product(spark, sf):
     parts = raw_parts(spark, sf)
     kinds = parts.where("p_type <> 'PROMO'").select(F.col("p_type").alias("kind_id")).distinct()
@@ -123,6 +138,7 @@ QUERIES = {
     "gold_view": gold_view,
     "gold_current_rows": gold_current_rows,
     "gold_dim_customer": gold_dim_customer,
+    "gold_dim_customer_refresh": gold_dim_customer_refresh,
     "gold_dim_product": gold_dim_product,
     "gold_fact": gold_fact,
 }
@@ -134,6 +150,10 @@ SQL = {
           SELECT *, CASE WHEN l_linestatus <> 'O' THEN l_shipdate END AS end_date FROM lineitem) l
         WHERE end_date IS NULL""",
     "gold_dim_customer": DIM_CUSTOMER_SQL,
+    "gold_dim_customer_refresh": f"""
+        SELECT customer_key, c_custkey, CASE WHEN load = 1 THEN customer_key END AS first_key
+        FROM (SELECT c_custkey, load, row_number() OVER (ORDER BY load, c_name NULLS LAST, c_custkey NULLS LAST) AS customer_key
+              FROM (SELECT *, CASE WHEN c_mktsegment = '{LATER_SEGMENT}' THEN 2 ELSE 1 END AS load FROM customer) c) k""",
     "gold_dim_product": DIM_PRODUCT_SQL,
     "gold_fact": FACT_SQL,
 }

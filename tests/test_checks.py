@@ -221,3 +221,50 @@ def test_issue_export_and_row_counter(spark, table, tmp_path):
     (tmp_path / "issues" / "empty.csv").write_text("")
     got = {r.path.split("issues/")[1].split("/")[0]: r.n for r in count_csv_rows(spark, str(tmp_path / "issues")).collect()}
     assert got == {"nokey": 2, "noline": 1, "none": 0, "empty.csv": 0}
+
+
+def test_sql_text_leaves_the_session_alone(spark, table):
+    spark.range(7).createOrReplaceTempView("mine")
+    before = {t.name for t in spark.catalog.listTables()}
+    group = [C.QueryCheck(name="own", table="mine", issues="SELECT * FROM mine"),
+             C.QueryCheck(name="dotted", table="silver.mine", issues="select * FROM silver . mine m /* silver.mine */ WHERE 'silver.mine' <> '' AND Silver.Mine.k IS NULL;"),
+             C.QueryCheck(name="with", table="mine", issues="WITH a AS (SELECT * FROM mine) SELECT * FROM a ORDER BY id -- end")]
+    group[1] = C.QueryCheck(name="dotted", table="silver.mine", issues=group[1].issues.replace("mine m /", "mine /"))
+    done = C.run_checks(spark, group, {"mine": table.limit(5), "silver.mine": table})
+    assert [(r.check_name, r.issues_found, r.error) for r in done.orderBy("check_pos").collect()] == [
+        ("own", 5, None), ("dotted", 2, None), ("with", 5, None)]
+    assert {t.name for t in spark.catalog.listTables()} == before and spark.table("mine").count() == 7
+    spark.catalog.dropTempView("mine")
+
+
+def test_one_failing_check_among_many_is_found_by_halves(spark, table):
+    group = [C.missing("k", name=f"c{i}", table="t") for i in range(64)]
+    group[37] = C.RowCheck(name="c37", table="t", where="raise_error('broken') IS NULL")
+    tracker, jobs = spark.sparkContext.statusTracker(), f"halves-{id(group)}"
+    spark.sparkContext.setJobGroup(jobs, "halves")
+    done = {r.check_name: r for r in C.run_checks(spark, group, {"t": table}, C.strict()).collect()}
+    started = len(tracker.getJobIdsForGroup(jobs))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [n for n, r in done.items() if r.error] == ["c37"] and all(r.issues_found == 2 for n, r in done.items() if n != "c37")
+    # a job that succeeds is two, one per stage, with adaptive execution
+    assert 0 < started <= 28
+
+
+def test_observed_checks(spark, table, tmp_path):
+    group = [C.missing("k", name="nokey", table="t"), C.RowCheck(name="odd", table="t", where="id % 2 = 1"),
+             C.missing("k", name="elsewhere", table="u")]
+    watched = C.ObservedChecks(group)
+    rows = watched.watch(table, "t")
+    rows.write.parquet(str(tmp_path / "t"))
+    got = watched.results(spark, C.strict()).drop("error").orderBy("check_pos").collect()
+    want = C.check_results(spark, group[:2], {"t": table}, C.strict()).drop("error").orderBy("check_pos").collect()
+    assert got[:2] == want and got[2].status == "ERROR"
+    with pytest.raises(C.CheckError):
+        C.ObservedChecks([C.DuplicateCheck(name="d", table="t", keys=["k"])])
+
+
+def test_observed_checks_need_no_scan_of_their_own(spark, table, explained, tmp_path):
+    table.write.parquet(str(tmp_path / "in"))
+    watched = C.ObservedChecks([C.missing("k", name="nokey", table="t")])
+    text = explained(watched.watch(spark.read.parquet(str(tmp_path / "in")), "t"))
+    assert text.count("Scan parquet") == 2 and "Exchange" not in text  # once in the tree, once in the details

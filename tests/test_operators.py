@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from layerkit.operators.dedupe import current_rows, keep_latest
 from layerkit.operators.joins import _hot_salts, hot_values, left_anti_join, left_join, size_in_bytes
-from layerkit.operators.keys import surrogate_key
+from layerkit.operators.keys import stable_key, surrogate_key
 
 
 def rows(df):
@@ -213,3 +213,25 @@ def test_size_in_bytes_measures_strings(spark):
     assert size_in_bytes(df) == 2 * 16 + 4
     assert size_in_bytes(df.limit(0)) == 0
     assert size_in_bytes(df.select(F.array("i"))) is None
+
+
+def test_stable_keys_never_change(spark, tmp_path):
+    register = str(tmp_path / "register")
+    rows = lambda *ids: spark.createDataFrame([(i, f"n{9 - i if i is not None else 0}") for i in ids], "id int, name string")
+    first = {r.id: r.k for r in stable_key(rows(3, 1, None, 3), ["id"], ["id"], register, 1, "k").collect()}
+    assert first == {1: 1, 3: 2, None: 3}
+    second = stable_key(rows(0, 1, 2, 3, 5), ["id"], ["name"], register, 2, "k")
+    # new keys only, by name: n4 (5), n7 (2), n9 (0)
+    want = {1: 1, 3: 2, 5: 4, 2: 5, 0: 6}
+    assert {r.id: r.k for r in second.collect()} == want and second.columns == ["k", "id", "name"]
+    again = stable_key(rows(0, 1, 2, 3, 5), ["id"], ["name"], register, 2, "k")
+    assert {r.id: r.k for r in again.collect()} == want
+    third = stable_key(rows(None, 2), ["id"], ["id"], register, 3, "k")
+    assert {r.id: r.k for r in third.collect()} == {None: 3, 2: 5}
+    assert stable_key(rows(1).limit(0), ["id"], ["id"], register, 4, "k").count() == 0
+
+
+def test_stable_keys_of_two_columns(spark, tmp_path):
+    df = spark.createDataFrame([("a", None), ("a", 1), (None, 1), ("a", None)], "x string, y int")
+    got = stable_key(df, ["x", "y"], ["y"], str(tmp_path / "r"), 1, "k")
+    assert sorted(((r.x, r.y, r.k) for r in got.collect()), key=repr) == [("a", 1, 1), ("a", None, 3), ("a", None, 3), (None, 1, 2)]
