@@ -304,6 +304,16 @@ def _results(
     )
 
 
+def results_of_counts(
+    spark: SparkSession,
+    checks: Sequence[tuple[int, Check]],
+    counts: Sequence[tuple[int, int, int]],
+    policy: Policy | None = None,
+) -> DataFrame:
+    """One row per numbered check from counts taken elsewhere: (number, rows, issues)."""
+    return _results(spark, checks, few_rows(spark, counts, _COUNTS), {}, policy or tiered())
+
+
 def check_results(
     spark: SparkSession,
     checks: Sequence[Check],

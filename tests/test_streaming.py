@@ -70,3 +70,23 @@ def test_check_metrics_per_batch_are_not_repeated(spark, tmp_path):
     write_events(spark, source, [(at + dt.timedelta(days=1), "b")])
     assert run() == second + [(2, "kind", 1, 0, "PASS"), (2, "dup", 1, 0, "PASS")]
     assert [tuple(r) for r in repeated_keys(spark, group[1], out).collect()] == [(at, 3)]
+
+
+def test_a_later_batch_reads_no_more_than_an_early_one(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    check = C.DuplicateCheck(name="dup", table="t", keys=["k", "l"], count_as="n")
+    batches = 12
+    for i in range(batches):
+        # every batch has 50 new keys, one key of all batches, and a NULL one
+        rows = [(i * 50 + j, "x") for j in range(50)] + [(-1, "y"), (None, None)]
+        spark.createDataFrame(rows, "k long, l string").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("k long, l string").option("maxFilesPerTrigger", 1).parquet(source)
+    queries = check_stream(stream, [check], out, state)
+    queries.awaitTermination()
+    progress = [p for p in queries.queries[0].recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in progress] == [52] * batches
+    assert [p["stateOperators"][0]["numRowsUpdated"] for p in progress] == [53] * batches
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] == 50 * batches + 3
+    assert sorted(map(tuple, repeated_keys(spark, check, out).collect()), key=repr) == [(-1, "y", batches), (None, None, batches)]
+    got = spark.read.parquet(out).orderBy("batch_id").collect()
+    assert [(r.total_records, r.issues_found) for r in got] == [(52, 0)] + [(52, 2)] * (batches - 1)
