@@ -8,6 +8,8 @@ of judged findings, or on planted ones; the dictionary is counted over all texts
 
 from __future__ import annotations
 
+import string
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,15 +21,18 @@ from layerkit.llm.common import column, stored
 _KEY = r"A-Za-z0-9+/_\-"
 #: Shortest candidates: anywhere, and behind '=' or ':'. Below them the forest has no say.
 SHORTEST, SHORTEST_ASSIGNED = 8, 4
-#: A run of key characters, with '=' as padding at its end only: name=value is a name and a value.
-CANDIDATE = (
-    rf"(?<![{_KEY}])(?:[{_KEY}]{{{SHORTEST},}}+|(?<=[=:]\s{{0,4}}[\"'`]?)[{_KEY}]{{{SHORTEST_ASSIGNED},}}+)"
-    rf"(?:={{1,2}}(?![{_KEY}=]))?"
-)
+
+
+def _candidate(shortest: int, assigned: int) -> str:
+    """A run of key characters, with '=' as padding at its end only: name=value is a name and a value."""
+    return (
+        rf"(?<![{_KEY}])(?:[{_KEY}]{{{shortest},}}+|(?<=[=:]\s{{0,4}}[\"'`]?)[{_KEY}]{{{assigned},}}+)"
+        rf"(?:={{1,2}}(?![{_KEY}=]))?"
+    )
+
+
 #: Characters of text looked at before and after a candidate.
 AROUND = 48
-#: So many candidates, each with a gap of a character at least, hold `AROUND` characters.
-_NEAR = -(-AROUND // (SHORTEST_ASSIGNED + 1))
 #: Words in the dictionary, the most frequent ones of three to eight letters.
 DICTIONARY = 512
 #: The most labelled findings the forest is trained on.
@@ -65,6 +70,10 @@ FEATURES = (
     "credential_inside", "names",
     "words_before", "test_path", "path_depth",
 )
+_AROUND_FEATURES = (
+    "assigned", "quoted", "named", "credential_before", "harmless_before", "credential_after", "names",
+    "words_before", "test_path", "path_depth",
+)
 
 
 def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> list[str]:
@@ -75,29 +84,50 @@ def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> l
     return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
-def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
+def _says(text: Column, pattern: str) -> Column:
+    # lower case once is cheaper than patterns that ignore case
+    return F.rlike(F.lower(F.coalesce(text, F.lit(""))), F.lit(pattern.replace("(?i)", "")))
+
+
+def candidates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source",
+    shortest: int = SHORTEST, shortest_assigned: int = SHORTEST_ASSIGNED, around: int = AROUND,
+) -> DataFrame:
     """(doc_id, path, ordinal, candidate, before, after): every candidate of every whole text, with
-    what stands around it in the text, other candidates included."""
-    value = column(docs, text)
+    what stands around it in the text, other candidates included; with `credential` and `harmless`, whether
+    such words are anywhere in the text, and what the path says."""
+    value, pattern = column(docs, text), _candidate(shortest, shortest_assigned)
+    where = column(docs, path).cast("string")
     rows = docs.select(
-        column(docs, doc_id).alias("doc_id"), column(docs, path).cast("string").alias("path"),
-        F.regexp_extract_all(value, F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split(value, CANDIDATE, -1).alias("gaps"),
+        column(docs, doc_id).alias("doc_id"), where.alias("path"),
+        F.regexp_extract_all(value, F.lit(pattern), F.lit(0)).alias("found"), F.split(value, pattern, -1).alias("gaps"),
+        _says(value, CREDENTIAL).alias("credential"), _says(value, HARMLESS).alias("harmless"),
+        _says(where, TEST_PATH).cast("double").alias("test_path"), F.coalesce(_count(where, "/"), F.lit(0.0)).alias("path_depth"),
     ).where(F.size("found") > 0)
     # gap, candidate, gap, candidate ... gap: the text in order
     pairs = F.zip_with("gaps", "found", lambda gap, one: F.array(gap, F.coalesce(one, F.lit(""))))
-    rows = rows.select("doc_id", "path", "found", F.flatten(pairs).alias("pieces"))
+    about = ["credential", "harmless", "test_path", "path_depth"]
+    rows = rows.select("doc_id", "path", *about, "found", F.flatten(pairs).alias("pieces"))
     rows = rows.select("*", F.posexplode("found").alias("ordinal", "candidate"))
     place = F.col("ordinal") * 2 + 2
-    first = F.greatest(F.lit(1), place - 1 - 2 * _NEAR)
-    before = F.array_join(F.slice("pieces", first, place - first), "")
-    after = F.array_join(F.slice("pieces", place + 1, 2 * _NEAR + 1), "")
+
+    def left(pieces: int) -> Column:
+        first = F.greatest(F.lit(1), place - 1 - pieces)
+        return F.array_join(F.slice("pieces", first, place - first), "")
+
+    def right(pieces: int) -> Column:
+        return F.array_join(F.slice("pieces", place + 1, pieces + 1), "")
+
+    # a few pieces hold enough nearly always
+    most = 2 * -(-around // (min(shortest, shortest_assigned) + 1))
+    before, after = (F.when(F.length(of(4)) >= around, of(4)).otherwise(of(most)) for of in (left, right))
     return rows.select(
         "doc_id", "path", F.col("ordinal").cast("bigint").alias("ordinal"), "candidate",
-        F.right(before, F.lit(AROUND)).alias("before"), F.left(after, F.lit(AROUND)).alias("after"),
+        F.right(before, F.lit(around)).alias("before"), F.left(after, F.lit(around)).alias("after"), *about,
     )
 
 
-def _count(text: str, pattern: str) -> Column:
+def _count(text: Column | str, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("double")
 
 
@@ -113,38 +143,62 @@ def _any_of(words: list[str]) -> str:
     return f"(?:{tree})" + ("?" if ends else "")
 
 
-def with_features(found: DataFrame, words: list[str]) -> DataFrame:
-    """`found` with the columns of `FEATURES`; shares are of the candidate's length."""
-    size = F.length("candidate").cast("double")
-    here = {name: _count("candidate", p) / size for name, p in (
-        ("digits", "[0-9]"), ("lowers", "[a-z]"), ("uppers", "[A-Z]"), ("hexes", "[0-9a-fA-F]"), ("marks", r"[+/_=\-]"),
-        ("letter_digit", "[A-Za-z](?=[0-9])"), ("digit_letter", "[0-9](?=[A-Za-z])"),
-        ("case_changes", "[a-z](?=[A-Z])|[A-Z](?=[a-z])"),
-    )}
+#: Every character of a candidate as its kind: 0 digit, h and l lower case with and without a-f, H and U upper
+#: case, - anything else.
+_KINDS = (
+    string.digits + string.ascii_lowercase + string.ascii_uppercase + "+/_-=",
+    "0" * 10 + "h" * 6 + "l" * 20 + "H" * 6 + "U" * 20 + "-" * 5,
+)
+
+
+def own_features(found: DataFrame, words: list[str]) -> DataFrame:
+    """`found` with the features that a candidate has by itself; shares are of its length."""
     rest = F.regexp_replace(F.lower("candidate"), _any_of(words), "") if words else F.lower("candidate")
-    # lower case once is cheaper than patterns that ignore case
-    low = lambda name: F.lower(F.coalesce(F.col(name), F.lit("")))
-    says = lambda name, pattern: F.rlike(low(name), F.lit(pattern.replace("(?i)", "")))
-    flag = lambda name, pattern: says(name, pattern).cast("double")
-    sign = lambda name: F.contains(name, F.lit("=")) | F.contains(name, F.lit(":"))
-    assigned = sign(F.col("before")) & says("before", r"[=:]\s*[\"'`]?$")
-    values = here | {
+    rows = found.withColumn("_kinds", F.translate("candidate", *_KINDS))
+    rows = rows.withColumn("_cases", F.translate("_kinds", "hlHU", "aaAA"))
+    size = F.length("candidate").cast("double")
+
+    def times(kinds: str, *runs: str) -> Column:
+        gone = [F.length(kinds) - F.length(F.replace(kinds, F.lit(r), F.lit(""))) for r in runs]
+        return sum(gone[1:], gone[0]) / len(runs[0]) / size
+
+    values = {
         "n_chars": size,
+        "digits": times("_kinds", "0"), "lowers": times("_kinds", "h", "l"), "uppers": times("_kinds", "H", "U"),
+        "hexes": times("_kinds", "0", "h", "H"), "marks": times("_kinds", "-"),
+        "letter_digit": times("_cases", "a0", "A0"), "digit_letter": times("_cases", "0a", "0A"),
+        "case_changes": times("_cases", "aA", "Aa"),
         "distinct_chars": F.size(F.array_distinct(F.split("candidate", ""))) / size,
         "covered": F.lit(1.0) - F.length(rest) / size,
+        "credential_inside": _says(F.col("candidate"), CREDENTIAL).cast("double"),
+    }
+    return rows.select("*", *[F.coalesce(v, F.lit(0.0)).alias(n) for n, v in values.items()]).drop("_kinds", "_cases")
+
+
+def context_features(found: DataFrame) -> DataFrame:
+    """`found` with the features of the words around a candidate. Credential words and the like are looked
+    for only in texts that have them somewhere."""
+    quotes = [F.lit(q) for q in ("\"", "'", "`")]
+    sign = lambda name: F.contains(name, F.lit("=")) | F.contains(name, F.lit(":"))
+    said = lambda known, name, pattern: F.when(F.col(known), _says(F.col(name), pattern).cast("double"))
+    assigned = sign(F.col("before")) & F.rlike("before", F.lit(r"[=:]\s*[\"'`]?$"))
+    quoted = F.right("before", F.lit(1)).isin(*quotes) & F.left("after", F.lit(1)).isin(*quotes)
+    values = {
         "assigned": assigned.cast("double"),
-        "quoted": flag("before", "[\"'`]$") * flag("after", "^[\"'`]"),
-        "named": F.when(assigned, flag("before", NAMED)),
-        "credential_before": flag("before", CREDENTIAL),
-        "harmless_before": flag("before", HARMLESS),
-        "credential_after": flag("after", CREDENTIAL),
-        "credential_inside": flag("candidate", CREDENTIAL),
-        "names": F.when(sign(F.col("after")), flag("after", r"^[\"'`]?\s{0,4}:?[=:]")),
+        "quoted": quoted.cast("double"),
+        "named": F.when(assigned, said("credential", "before", NAMED)),
+        "credential_before": said("credential", "before", CREDENTIAL),
+        "harmless_before": said("harmless", "before", HARMLESS),
+        "credential_after": said("credential", "after", CREDENTIAL),
+        "names": F.when(sign(F.col("after")), F.rlike("after", F.lit(r"^[\"'`]?\s{0,4}:?[=:]")).cast("double")),
         "words_before": _count("before", r"[\p{L}]{2,}+"),
-        "test_path": flag("path", TEST_PATH),
-        "path_depth": F.coalesce(_count("path", "/"), F.lit(0.0)),
     }
-    return found.select("*", *[F.coalesce(values[f], F.lit(0.0)).alias(f) for f in FEATURES])
+    return found.select("*", *[F.coalesce(v, F.lit(0.0)).alias(n) for n, v in values.items()])
+
+
+def with_features(found: DataFrame, words: list[str]) -> DataFrame:
+    """`found` with the columns of `FEATURES`."""
+    return own_features(context_features(found), words)
 
 
 def _pick(seed: int, values: list) -> Column:
@@ -246,18 +300,27 @@ def judged(featured: DataFrame, model: RandomForestClassificationModel | None) -
 
 
 def findings(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source", labels: DataFrame | None = None
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source", labels: DataFrame | None = None,
+    shortest: int = SHORTEST, shortest_assigned: int = SHORTEST_ASSIGNED, around: int = AROUND, dictionary_size: int = DICTIONARY,
 ) -> DataFrame:
     """One row per candidate: `doc_id`, `ordinal` (from 0 within its text), `candidate_sha256`,
     `n_chars`, `covered`, `score` and `is_secret`.
 
+    Candidates are runs of key characters, `shortest` and longer, `shortest_assigned` behind `=` or `:`; 1 scores every
+    run. The words of `around` characters before and after count, and the `dictionary_size` most frequent words.
     `labels` (doc_id, ordinal, label) are judged findings to train on; without them those of planted
     texts are taken. If the labels hold no secret or nothing else, `score` and `is_secret` are null:
     undecided. Null and empty texts have no candidates; null paths and ids are allowed;
     repeated rows give repeated findings. An empty table gives no rows.
     """
-    words = dictionary(docs, text)
-    found = stored(with_features(candidates(docs, doc_id, text, path), words).drop("before", "after"), "findings")
+    words = dictionary(docs, text, dictionary_size)
+    spots = context_features(candidates(docs, doc_id, text, path, shortest, shortest_assigned, around))
+    whole = {f: F.col(f).cast("int") for f in _AROUND_FEATURES}
+    spots = stored(spots.select("doc_id", "ordinal", "candidate", *[c.alias(f) for f, c in whole.items()]), "spots")
+    # what a candidate has by itself is found once per distinct one
+    own = own_features(spots.select("candidate").distinct(), words).withColumn("candidate_sha256", F.sha2("candidate", 256))
+    own = stored(own, "distinct")
+    found = spots.join(own, "candidate").withColumns({f: F.col(f).cast("double") for f in _AROUND_FEATURES})
     if labels is None:
         known = stored(labelled(docs.sparkSession, words), "planted")
     else:
@@ -267,6 +330,6 @@ def findings(
         ).withColumn("label", F.col("_label").cast("double")).where("label is not null")
     scored = judged(found, train(known))
     return scored.select(
-        "doc_id", "ordinal", F.sha2("candidate", 256).alias("candidate_sha256"), F.col("n_chars").cast("bigint").alias("n_chars"),
+        "doc_id", "ordinal", "candidate_sha256", F.col("n_chars").cast("bigint").alias("n_chars"),
         "covered", "score", (F.col("score") >= THRESHOLD).alias("is_secret"),
     )
