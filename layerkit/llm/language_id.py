@@ -4,8 +4,12 @@ The subwords of a text are all runs of two to four bytes within its words, the w
 included. Each hashes to an embedding; a text is the average of its embeddings, and a linear softmax
 over it gives the languages. Embeddings and softmax are trained together by stochastic gradient
 descent in numpy, on a bounded sample of labelled texts. A temperature, fitted on texts left out of
-training, calibrates the scores. A text is rejected that scores below every rightly recognised one
-of those, and nearer to a guess than to a half.
+training, calibrates the scores.
+
+A softmax is sure of one of its languages whatever it is given, so what decides on rejection is how
+familiar a text is: the mean log probability of its subwords among those of the language it was
+given. The bound of a language lies between its own texts left out of training and the other languages'
+texts, seen as if they were of this one: those stand for languages never learnt.
 
 Training needs the model's driver to hold the sample's subword counts only; prediction needs
 nothing but the product of embeddings and softmax, one row of numbers per hash.
@@ -28,6 +32,13 @@ LENGTHS = (2, 3, 4)
 DIMENSIONS = 16
 #: The most texts of a language the model is trained on.
 PER_LANGUAGE = 500
+#: The most languages learnt, the most frequent ones, and the most texts of all of them together.
+LANGUAGES, TEXTS = 256, 10_000
+#: How far the bound lies from a language's own texts to the others', the least it keeps from its own ones (in nats),
+#: and what it keeps where there are no others.
+BETWEEN, LEAST_GAP, ALONE_GAP = 0.75, 1.0, 2.5
+#: Subwords overlap; so many tell as much as one that stands alone.
+_OVERLAP = 9
 EPOCHS = 12
 UNKNOWN = "und"
 _PIECE = 1 << 20
@@ -98,24 +109,36 @@ def _subwords(run: list[bytes], owner: list[int]) -> Iterator[tuple[np.ndarray,
 
 @dataclass
 class Model:
-    """Languages, a row of weights per hash, bias, temperature and the score to reject below."""
+    """Languages, a row of weights per hash, bias, temperature and the score to reject below; log
+    probabilities of the hashes in each language, the bounds of their mean, and their spread."""
 
     languages: list[str]
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
     threshold: float
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """Calibrated probability of each language for each text."""
-        total = np.zeros((len(texts), len(self.languages)))
+    familiar: np.ndarray
+    bounds: np.ndarray
+    spread: np.ndarray
+
+    def judged(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Calibrated probability of each language for each text, and whether the text is too strange to
+        be of the likeliest one. Of equally likely languages the first in order is taken."""
+        k = len(self.languages)
+        table = np.hstack([self.weights, self.familiar])
+        total = np.zeros((len(texts), 2 * k))
         counts = np.zeros(len(texts))
         for owner, hashes in subwords(texts):
             if len(owner):
                 first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-                total[owner[first]] += np.add.reduceat(self.weights[hashes], first, axis=0)
+                total[owner[first]] += np.add.reduceat(table[hashes], first, axis=0)
                 counts[owner[first]] += np.diff(np.append(first, len(owner)))
-        return self._softmax(total / np.maximum(counts, 1)[:, None] + self.bias)
+        mean = total / np.maximum(counts, 1)[:, None]
+        p = self._softmax(mean[:, :k] + self.bias)
+        best = p.argmax(axis=1)
+        # short texts may be stranger
+        slack = self.spread[best] / np.sqrt(np.maximum(counts, 1) / _OVERLAP)
+        return p, mean[np.arange(len(texts)), k + best] < self.bounds[best] - slack
 
     def _softmax(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.temperature
@@ -169,19 +192,42 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS)
     train = np.flatnonzero(~apart)
     embeddings, softmax, bias = _descend([shares[i] for i in train], labels[train], max(1, len(languages)), epochs)
     weights = embeddings @ softmax
-    model = Model(languages, weights.astype(np.float32), bias, 1.0, 0.0)
+    familiar, spread = _familiar([samples[i][1:] for i in train], labels[train], max(1, len(languages)))
+    bounds = np.full(len(spread), -np.inf)
+    model = Model(languages, weights.astype(np.float32), bias, 1.0, 0.0, familiar.astype(np.float32), bounds, spread)
     test = np.flatnonzero(apart)
-    if len(languages) > 1 and len(test):
+    if not len(test):
+        return model
+    own = np.array([s @ familiar[h] for h, s in (shares[i] for i in test)])
+    for k in range(len(languages)):
+        mine, others = own[labels[test] == k, k], own[labels[test] != k, k]
+        if len(mine):
+            low = np.quantile(mine, 0.02)
+            gap = BETWEEN * (low - np.quantile(others, 0.98)) if len(others) else ALONE_GAP
+            bounds[k] = low - max(LEAST_GAP, gap)
+    if len(languages) > 1:
         logits = np.array([s @ weights[h] + bias for h, s in (shares[i] for i in test)])
-        model.temperature = _calibrated(logits, labels[test])
+        right = logits.argmax(axis=1) == labels[test]
+        # without a mistake to learn from, no score is to be raised
+        model.temperature = max(_calibrated(logits, labels[test]), 1.0 if right.all() else 0.0)
         p = model._softmax(logits)
-        right = p.argmax(axis=1) == labels[test]
         # texts of two languages score about a half and are not to go
         least = (1 / len(languages) + 0.5) / 2
         model.threshold = float(min(least, p.max(axis=1)[right].min(initial=least)))
     return model
 
 
+def _familiar(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, n_languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of each hash in each language, and how far it spreads over its subwords."""
+    seen = np.full((n_languages, BUCKETS), 0.5)
+    for (hashes, counts), k in zip(texts, labels):
+        seen[k, hashes] += counts
+    p = seen / seen.sum(axis=1, keepdims=True)
+    log = np.log(p)
+    mean = (p * log).sum(axis=1, keepdims=True)
+    return np.ascontiguousarray(log.T), np.sqrt((p * (log - mean) ** 2).sum(axis=1))
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept for testing: crc32 of its id as text, modulo 4, is 2. A null id
     is neither learnt from nor held out."""
@@ -190,14 +236,17 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model | None:
     """Model of the languages in `lang`, learnt from texts and languages of at most
-    `per_language` documents of each language that are not held out; None if there are none. The
-    sample goes by hashes of id and text, so a rerun learns the same. The driver gets the counts
-    of at most `BUCKETS` hashes for each of those documents."""
+    `per_language` documents of each language that are not held out; None if there are none. At most `LANGUAGES`
+    are learnt, the most frequent ones, of equally frequent ones the first; texts of the rest are strange to the
+    model. The sample goes by hashes of id and text, so a rerun learns the same. The driver gets
+    the counts of at most `BUCKETS` hashes for each of at most `TEXTS` documents."""
     key, value, name = column(docs, doc_id), column(docs, text), column(docs, lang)
     usable = docs.where(key.isNotNull() & ~held_out(key) & name.isNotNull() & value.isNotNull())
-    counts = {r[0]: r[1] for r in usable.groupBy(name.alias("lang")).count().collect()}
+    sizes = usable.groupBy(name.alias("lang")).agg(F.count("*").alias("n"))
+    counts = {r[0]: r[1] for r in sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return None
+    per_language = max(1, min(per_language, TEXTS // len(counts)))
     # thinned out by hash first, to a few times the bound, then cut to it in each language
     chance = F.lit(0.0)
     for language, n in counts.items():
@@ -235,11 +284,11 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 def _judged(model: Model | None, texts: list[bytes], letters: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
     if model is None or not texts:
         return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-    p = model.scores(texts)
+    p, strange = model.judged(texts)
     best = p.argmax(axis=1)
     score = np.where(letters, p[np.arange(len(p)), best], 0.0)
     names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, letters)]
-    return names, score, ~letters | (score < model.threshold)
+    return names, score, ~letters | strange | (score < model.threshold)
 
 
 def _with_letters(docs: DataFrame, text: str) -> Column:
@@ -250,7 +299,7 @@ def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
     """One row per document: `doc_id`, `held_out`, `lang_pred`, `score`, `rejected`.
 
     Null texts and texts without a letter are `und`, score 0, rejected; so is every text without a
-    model. Texts are read whole, a bounded number of bytes at a time.
+    model. A text strange to its predicted language keeps that prediction and score, and is rejected. Texts are read whole, a bounded number of bytes at a time.
     """
     key = column(docs, doc_id)
     rows = docs.select(

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and on odd inputs."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -584,6 +585,26 @@ def test_long_texts_have_the_subwords_of_their_parts(monkeypatch):
     assert Counter(np.concatenate([h for _, h in language_id.subwords([text])]).tolist()) == whole
 
 
+def test_unlearnt_languages_are_rejected(spark, sf):
+    """One language left out of training at a time, and languages that are nowhere in the tables."""
+    docs = spark.read.parquet(f"{os.path.dirname(sf)}/sf0.01/documents.parquet").where("length(text) >= 40").cache()
+    for left_out in ("de", "es", "fr", "en"):
+        model = language_id.train(docs.where(F.col("lang") != left_out))
+        got = language_id.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id")
+        shares = {r[0]: r[1] for r in got.groupBy(F.col("lang") == left_out).agg(F.avg(F.col("rejected").cast("int"))).collect()}
+        assert shares[True] >= 0.9 and shares[False] <= 0.02, (left_out, shares)
+    model = language_id.train(docs)
+    assert model.temperature >= 1
+    strange = ["Tämä on suomenkielinen lause jota kukaan ei ymmärrä", "Dit is een Nederlandse zin over het weer vandaag",
+               "asdf jkl asdf jkl qwe rtz", "Это русский текст о погоде и о людях", "qzx vkw jjqp xxzq", "これは日本語の文章です。"]
+    got = language_id.predict(frame(spark, [(i, t, None, "s") for i, t in enumerate(strange)]), model).collect()
+    assert all(r["rejected"] and r["lang_pred"] != "und" for r in got)
+    assert language_id.predict(docs, model).where("rejected").count() <= 0.02 * docs.count()
+    # only the most frequent languages are learnt when there are too many
+    many = frame(spark, [(i, f"text of {i % 300}", f"l{i % 300:03d}", "s") for i in range(1500)])
+    assert len(language_id.train(many, per_language=2).languages) == language_id.LANGUAGES
+
+
 # ---- secrets
 
 def test_secrets(spark):
@@ -602,6 +623,23 @@ def test_secrets(spark):
     assert not any(r["is_secret"] for r in got if r["doc_id"] and r["doc_id"] >= 200)
 
 
+def test_own_features_by_hand(spark):
+    rng = random.Random(4)
+    values = ["".join(rng.choice("abgzAGZ09_-/+=") for _ in range(rng.randint(4, 20))) for _ in range(300)] + ["myToken12", "aAaAaA", "x" * 3000]
+    got = secret_forest.own_features(spark.createDataFrame([(v,) for v in values], "candidate string"), ["abg", "abga"])
+    for r in got.collect():
+        v, n = r["candidate"], len(r["candidate"])
+        kind = ["0" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "-" for c in v]
+        pairs = list(zip(kind, kind[1:]))
+        want = {
+            "digits": kind.count("0"), "lowers": kind.count("a"), "uppers": kind.count("A"), "marks": kind.count("-"),
+            "hexes": sum(c in "0123456789abcdefABCDEF" for c in v), "letter_digit": sum(a in "aA" and b == "0" for a, b in pairs),
+            "digit_letter": sum(a == "0" and b in "aA" for a, b in pairs), "case_changes": sum({a, b} == {"a", "A"} for a, b in pairs),
+            "distinct_chars": len(set(v)), "covered": n - len(re.sub("abga|abg", "", v.lower())), "credential_inside": n * ("token" in v.lower()),
+        }
+        assert r["n_chars"] == n and all(r[f] == pytest.approx(x / n) for f, x in want.items()), (v, want)
+
+
 def test_candidates_of_every_form_keep_their_context(spark):
     key = "abcdEFGH1234abcdEFGH1234ab=="
     texts = {

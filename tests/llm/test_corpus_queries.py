@@ -45,3 +45,14 @@ def test_pipeline_stages(spark, sf, tmp_path):
         assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == columns
     assert len(ids) >= counts[0] > counts[1] >= counts[2] > 0 and counts[3] == counts[4]
     assert corpus_pipeline.run(spark, sf).count() == counts[4]
+
+
+def test_first_stage_drops_texts_of_unlearnt_languages(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("lang IS NOT NULL AND length(text) >= 40")
+    strange = ["Это русский текст о погоде и о людях", "qzx vkw jjqp xxzq wwk zzq", "これは日本語の文章です。"]
+    rows = [(-1 - i, t, None, "src0", len(t)) for i, t in enumerate(strange)]
+    planted = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(
+        spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"))
+    kept = {r[0] for r in corpus_pipeline.STAGES[0][1](spark, planted, sf).select("doc_id").collect()}
+    clean = {r[0] for r in docs.select("doc_id").collect()}
+    assert not kept & {r[0] for r in rows} and len(kept & clean) >= 0.98 * len(clean)
