@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from layerkit.operators import explore as X
 from layerkit.operators import profile as P
 from layerkit.plans.queries.data import table
 from layerkit.plans.queries.quality import labelled_documents
@@ -47,7 +48,42 @@ def approximate(spark, sf):
     return both.select("table_name", "column_name", "n", "n_missing", close.alias("is_close"))
 
 
+RANKED = ("value", "user_id", "event_id")
+
+
+def correlated(spark, sf):
+    """Pearson's coefficients of the line items' numbers."""
+    return _rounded(X.correlations(table(spark, sf, "lineitem"), NUMBERS))
+
+
+def ranked(spark, sf):
+    """Spearman's coefficients of the events' numbers; values that are missing or repeated share ranks."""
+    events = table(spark, sf, "events")
+    return _rounded(X.rank_correlations(events.withColumn("value", F.floor("value").cast("double")), RANKED))
+
+
+def associated(spark, sf):
+    """Association of the orders' codes with each other."""
+    orders = table(spark, sf, "orders")
+    month = F.date_format("o_orderdate", "MM").alias("month")
+    return _rounded(X.associations(orders.select("o_orderstatus", "o_orderpriority", month)))
+
+
+def spread(spark, sf):
+    return _rounded(X.histograms(table(spark, sf, "lineitem"), NUMBERS, 8))
+
+
+def repeated(spark, sf):
+    """Documents of the same text, language and source."""
+    return X.repeated_rows(table(spark, sf, "documents").select("text", "lang", "source"))
+
+
 QUERIES = {
+    "profile_correlations": correlated,
+    "profile_rank_correlations": ranked,
+    "profile_associations": associated,
+    "profile_histogram": spread,
+    "profile_repeated_rows": repeated,
     "profile_numeric": lambda spark, sf: _rounded(P.profile_numeric(table(spark, sf, "lineitem"), NUMBERS)),
     "profile_string": lambda spark, sf: _rounded(P.profile_string(table(spark, sf, "documents"), TEXTS)),
     "profile_dates": lambda spark, sf: _rounded(P.profile_dates(table(spark, sf, "orders"))),
@@ -101,7 +137,57 @@ def _nan_last_sql(p):
         ELSE round(x[{low}] + (x[{high}] - x[{low}]) * {part}, 7) END"""
 
 
+def _pairs_sql(source, columns, value):
+    return " UNION ALL ".join(
+        f"SELECT '{a}' AS first, '{b}' AS second, {value(a, b)} FROM {source}"
+        for i, a in enumerate(columns) for b in columns[i + 1 :]
+    )
+
+
+def _pearson_sql(a, b):
+    return f"round(corr({a}, {b}), 7) AS correlation, count(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 END) AS n"
+
+
+def _rank_sql(column):
+    of = f"PARTITION BY {column} IS NULL"
+    place = f"rank() OVER ({of} ORDER BY {column}) + (count(*) OVER (PARTITION BY {column}) - 1) / 2.0"
+    return f"CASE WHEN {column} IS NOT NULL THEN {place} END AS {column}"
+
+
+def _cramer_sql(a, b):
+    cells = f"SELECT {a} AS a, {b} AS b, count(*) AS c FROM coded WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2"
+    return f"""
+        SELECT '{a}' AS first, '{b}' AS second,
+               round(sqrt((sum(c * c / (ra * CAST(rb AS DOUBLE))) - 1) / (least(count(DISTINCT a), count(DISTINCT b)) - 1)), 7) AS cramers_v,
+               CAST(sum(c) AS BIGINT) AS n
+        FROM (SELECT *, sum(c) OVER (PARTITION BY a) AS ra, sum(c) OVER (PARTITION BY b) AS rb FROM ({cells}) x) y"""
+
+
+def _histogram_sql(column, bins=8):
+    return f"""
+        SELECT '{column}' AS column_name, CAST(g.bin AS INTEGER) AS bin, round(lo + g.bin * ((hi - lo) / {bins}), 7) AS lower,
+               round(CASE WHEN g.bin = {bins - 1} THEN hi ELSE lo + (g.bin + 1) * ((hi - lo) / {bins}) END, 7) AS upper,
+               coalesce(k.n, 0) AS n
+        FROM (SELECT CAST(min({column}) AS DOUBLE) AS lo, CAST(max({column}) AS DOUBLE) AS hi FROM lineitem) e,
+             (SELECT unnest(range(0, {bins})) AS bin) g
+        LEFT JOIN (
+          SELECT least(floor(({column} - lo) / ((hi - lo) / {bins})), {bins - 1}) AS bin, count(*) AS n
+          FROM lineitem, (SELECT CAST(min({column}) AS DOUBLE) AS lo, CAST(max({column}) AS DOUBLE) AS hi FROM lineitem) f
+          WHERE {column} IS NOT NULL GROUP BY 1) k ON k.bin = g.bin"""
+
+
+_CODED = ("o_orderstatus", "o_orderpriority", "month")
+
 SQL = {
+    "profile_correlations": _pairs_sql("lineitem", NUMBERS, _pearson_sql),
+    "profile_rank_correlations": f"""
+        WITH r AS (SELECT {', '.join(map(_rank_sql, RANKED))}
+                   FROM (SELECT floor(value) AS value, user_id, event_id FROM events) e)
+        {_pairs_sql('r', RANKED, _pearson_sql)}""",
+    "profile_associations": "WITH coded AS (SELECT o_orderstatus, o_orderpriority, strftime(o_orderdate, '%m') AS month FROM orders) "
+        + " UNION ALL ".join(_cramer_sql(a, b) for i, a in enumerate(_CODED) for b in _CODED[i + 1 :]),
+    "profile_histogram": " UNION ALL ".join(map(_histogram_sql, NUMBERS)),
+    "profile_repeated_rows": "SELECT text, lang, source, count(*) AS copies FROM documents GROUP BY ALL HAVING count(*) > 1",
     "profile_numeric_nan": f"""
         SELECT 'price' AS column_name, n, {", ".join(f"{_nan_last_sql(p)} AS {q}" for q, p in P.QUANTILES.items())}
         FROM (SELECT count(*) AS n, list_sort(list(l_extendedprice) FILTER (l_returnflag <> 'R')) AS x FROM lineitem) l""",
