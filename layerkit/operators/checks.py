@@ -435,6 +435,14 @@ def layer_summary(results: DataFrame) -> DataFrame:
     )
 
 
+def restated(results: DataFrame, policy: Policy) -> DataFrame:
+    """The same results judged by another policy, from their counts; ERROR rows stay."""
+    total, issues = F.col("total_records"), F.col("issues_found")
+    clean_pct = F.when(total > 0, (total - issues) / total * 100).otherwise(0.0)
+    status = F.when(F.col("error").isNotNull(), "ERROR").otherwise(policy(issues, clean_pct, F.col("severity")))
+    return results.withColumn("status", status)
+
+
 def merge_results(*results: DataFrame) -> DataFrame:
     """Union of result sets; of rows with the same check name the last set wins, at the place
     where the name first appeared. Positions are renumbered from 0."""

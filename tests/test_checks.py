@@ -268,3 +268,12 @@ def test_observed_checks_need_no_scan_of_their_own(spark, table, explained, tmp_
     watched = C.ObservedChecks([C.missing("k", name="nokey", table="t")])
     text = explained(watched.watch(spark.read.parquet(str(tmp_path / "in")), "t"))
     assert text.count("Scan parquet") == 2 and "Exchange" not in text  # once in the tree, once in the details
+
+
+def test_results_restated_by_another_policy(spark, table):
+    group = [C.missing("k", name="few", table="t", severity="low"), C.RowCheck(name="most", table="t", where="id > 3", severity="critical"),
+             C.missing("nope", name="broken", table="t")]
+    first = C.run_checks(spark, group, {"t": table}, C.strict())
+    again = C.run_checks(spark, group, {"t": table}, C.tiered())
+    assert C.restated(first, C.tiered()).orderBy("check_pos").collect() == again.orderBy("check_pos").collect()
+    assert [r.status for r in first.orderBy("check_pos").collect()] == ["FAIL", "FAIL", "ERROR"]
