@@ -8,11 +8,14 @@ pre-aggregated group count, and the branches meet as one short row per check.
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -338,12 +341,14 @@ def run_checks(
     stand alone, about log2(n) more jobs for one among n."""
     policy = policy or tiered()
     numbered = list(enumerate(checks))
-    _, errors = _branches(spark, numbered, tables)
+    planned, errors = _branches(spark, numbered, tables)
     counts: list[tuple] = []
     waiting = [[(pos, c) for pos, c in numbered if pos not in errors]]
     while waiting:
         group = waiting.pop()
-        branches, _ = _branches(spark, group, tables)
+        # all together are planned already
+        branches = planned if planned is not None else _branches(spark, group, tables)[0]
+        planned = None
         if not branches:
             continue
         try:
@@ -358,6 +363,38 @@ def run_checks(
     return few_rows(spark, [tuple(r) for r in rows], RESULT_SCHEMA)
 
 
+def run_concurrently(
+    spark: SparkSession,
+    branches: Mapping[str, Sequence[Check]],
+    tables: Tables | None = None,
+    policy: Policy | None = None,
+) -> DataFrame:
+    """`run_checks` of independent branches, such as layers, at the same time, a thread and a scheduler pool named
+    after it each (the pools share evenly under `spark.scheduler.mode=FAIR`); their rows in one set, numbered
+    on from branch to branch. Tables are looked up by one branch at a time, so a lookup that keeps what it
+    has planned plans it once."""
+    get, lock = _lookup(spark, tables), threading.RLock()
+
+    def looked_up(name: str) -> DataFrame:
+        with lock:
+            return get(name)
+
+    def run(name: str) -> list[tuple]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        given = looked_up if tables is None or callable(tables) else tables
+        # SQL text needs its tables by name, or the catalogue
+        if tables is None and any(isinstance(c, QueryCheck) and isinstance(c.issues, str) for c in branches[name]):
+            given = None
+        return [tuple(r) for r in run_checks(spark, branches[name], given, policy).collect()]
+
+    if not branches:
+        return few_rows(spark, [], RESULT_SCHEMA)
+    with ThreadPoolExecutor(len(branches)) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(run), name) for name in branches]
+        rows = [row for each in waiting for row in each.result()]
+    return few_rows(spark, [(pos, *row[1:]) for pos, row in enumerate(rows)], RESULT_SCHEMA)
+
+
 class ObservedChecks:
     """Row checks of a table counted while its rows go by, typically to where they are written: no scan of
     their own. `watch` a DataFrame, run one action on what it returns, then ask for `results`."""

@@ -131,6 +131,12 @@ def dq_merge_results(spark, sf):
     return C.merge_results(first, again).select("check_pos", "check_name", "issues_found", "status")
 
 
+def dq_concurrent(spark, sf):
+    """Both layers checked at the same time."""
+    layers = {"silver": CHECKS[:9], "gold": CHECKS[9:]}
+    return C.layer_summary(C.run_concurrently(spark, layers, tables(spark, sf), C.tiered()))
+
+
 def dq_single_check(spark, sf):
     """One check looked up by layer and name and run alone."""
     layers = {"silver": CHECKS[:9], "gold": CHECKS[9:]}
@@ -254,6 +260,7 @@ QUERIES = {
     "dq_status_strict": lambda spark, sf: results(spark, sf, C.strict()).select(*_STATUS),
     "dq_status_flat": lambda spark, sf: results(spark, sf, C.flat()).select(*_STATUS),
     "dq_layer_overall": lambda spark, sf: C.layer_summary(results(spark, sf, C.tiered())),
+    "dq_concurrent": dq_concurrent,
     "dq_merge_results": dq_merge_results,
     "dq_weighted_score": lambda spark, sf: C.weighted_score(results(spark, sf, C.tiered())),
     "dq_report_lines": dq_report_lines,
@@ -429,6 +436,7 @@ SQL = {
     "dq_status_tiered": _status_sql(_TIERED_SQL),
     "dq_status_strict": _status_sql(_STRICT_SQL),
     "dq_status_flat": _status_sql(_FLAT_SQL),
+    "dq_concurrent": f"{_SUMMARY_SQL} FROM ({results_sql(_TIERED_SQL)}) r",
     "dq_layer_overall": f"{_SUMMARY_SQL} FROM ({results_sql(_TIERED_SQL)}) r",
     "dq_merge_results": f"""
         SELECT check_pos, check_name, issues_found, status FROM ({results_sql(_TIERED_SQL, CHECKS[:6])}) a

@@ -277,3 +277,22 @@ def test_results_restated_by_another_policy(spark, table):
     again = C.run_checks(spark, group, {"t": table}, C.tiered())
     assert C.restated(first, C.tiered()).orderBy("check_pos").collect() == again.orderBy("check_pos").collect()
     assert [r.status for r in first.orderBy("check_pos").collect()] == ["FAIL", "FAIL", "ERROR"]
+
+
+def test_branches_run_at_the_same_time(spark, table):
+    import threading
+
+    both = threading.Barrier(2, timeout=60)
+
+    def met(get):
+        # the table is looked up before waiting, as lookups go one by one
+        df = get("t")
+        both.wait()
+        return df.where("k IS NULL")
+
+    branches = {n: [C.QueryCheck(name=f"{n}-meets", table="t", issues=met), C.missing("k", name=n, table="t")] for n in ("a", "b")}
+    # a check is planned once to see whether it can be, and once to run
+    got = C.run_concurrently(spark, branches, {"t": table}.__getitem__, C.strict()).orderBy("check_pos").collect()
+    assert [(r.check_pos, r.check_name, r.issues_found, r.error) for r in got] == [
+        (0, "a-meets", 2, None), (1, "a", 2, None), (2, "b-meets", 2, None), (3, "b", 2, None)]
+    assert C.run_concurrently(spark, {}).count() == 0
