@@ -19,6 +19,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from layerkit.operators.uniqueness import repeated_keys
 from layerkit.session import few_rows
 
 PASS_THRESHOLD = 95.0
@@ -58,10 +59,13 @@ class RowCheck(Check):
 
 @dataclass(frozen=True, kw_only=True)
 class DuplicateCheck(Check):
-    """Keys that occur more than once, NULL being one key. Counts keys, not rows."""
+    """Keys that occur more than once, NULL being one key. Counts keys, not rows. `near_unique` is for tables
+    that have few such keys: only keys of repeated hashes are shuffled, at the price of a pass that runs
+    while the check is planned."""
 
     keys: Sequence[str]
     count_as: str = "count"
+    near_unique: bool = False
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -129,6 +133,8 @@ def issue_rows(spark: SparkSession, check: Check, tables: Tables | None = None)
         found = get(check.table).where(_predicate(check))
         return found.select(*check.show) if check.show else found
     if isinstance(check, DuplicateCheck):
+        if check.near_unique:
+            return repeated_keys(get(check.table), check.keys, check.count_as)
         counts = _key_counts(get(check.table), check.keys, check.count_as)
         return counts.where(F.col(check.count_as) > 1)
     return _issues_by_sql(spark, check, tables) if isinstance(check.issues, str) else check.issues(get)
@@ -254,7 +260,7 @@ def _branches(
             if isinstance(check, RowCheck):
                 df.select(_predicate(check))  # resolves the predicate, runs nothing
                 by_row.setdefault(check.table, []).append((pos, check))
-            elif isinstance(check, DuplicateCheck):
+            elif isinstance(check, DuplicateCheck) and not check.near_unique:
                 _key_counts(df, check.keys)
                 by_key.setdefault(check.table, []).append((pos, check))
             else:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerkit.operators.quantiles import ACCURACY, exact_quantiles
-from layerkit.session import few_rows
+from layerkit.session import few_rows, store
 
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
 _INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -62,8 +62,15 @@ def value_counts(df: DataFrame, columns: Sequence[str], shorten: bool = False) -
     """(column_name, whole, real, text, n) for every non-NULL value, in one scan with map-side
     counting. With `shorten`, texts are replaced by their digests, which keeps them apart without
     shuffling whole texts."""
+    return _counted(_cells(df, columns, shorten))
+
+
+def _cells(df: DataFrame, columns: Sequence[str], shorten: bool = False) -> DataFrame:
     cells = df.select(F.inline(F.array(*[_cell(df, c, shorten) for c in columns])))
-    cells = cells.where("whole is not null or real is not null or text is not null")
+    return cells.where("whole is not null or real is not null or text is not null")
+
+
+def _counted(cells: DataFrame) -> DataFrame:
     return cells.groupBy("column_name", "whole", "real", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -197,18 +204,55 @@ def profile_dates(df: DataFrame, columns: Sequence[str] | None = None, exact: bo
 def profile_top_values(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
     """The k most frequent values per column, ties by value. The best k of each of many parts of a
     column's values are found first, so no task ranks all of them."""
+    return _top(value_counts(df, columns), k)
+
+
+def _top(counts: DataFrame, k: int) -> DataFrame:
     best = [F.col("n").desc(), F.col("value").asc()]
     order = Window.partitionBy("column_name").orderBy(*best)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     within = Window.partitionBy("column_name", "part").orderBy(*best)
     value = F.coalesce(F.col("whole").cast("string"), F.col("real").cast("string"), "text")
-    counts = value_counts(df, columns).select("column_name", value.alias("value"), "n")
+    counts = counts.select("column_name", value.alias("value"), "n")
     counts = counts.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(parts)))
     counts = counts.withColumn("place", F.row_number().over(within)).where(F.col("place") <= k)
     ranked = counts.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k).select("column_name", "rank", "value", "n")
 
 
+def profile_top_values_bounded(df: DataFrame, columns: Sequence[str], k: int = 10, buckets: int = 4096) -> DataFrame:
+    """`profile_top_values` without a group for every distinct value.
+
+    A first pass counts two independent hash buckets of every value: `buckets` counters a column and hash,
+    whatever the number of values, pre-aggregated and written out. The values of the 2k fullest buckets are
+    counted next; the k-th of them bounds the k-th of all from below. A value can be among the best only if both of
+    its buckets reach that bound, so only such values are counted for the result, which is exact. Of a
+    column whose values are all about as frequent, most reach it.
+    """
+    cells = _cells(df, columns)
+    for depth in (0, 1):
+        slot = F.xxhash64(F.lit(depth), "column_name", "whole", "real", "text")
+        cells = cells.withColumn(f"bucket_{depth}", F.pmod(slot, F.lit(buckets)).cast("int"))
+    both = F.array(*[F.struct(F.lit(d).alias("depth"), F.col(f"bucket_{d}").alias("bucket")) for d in (0, 1)])
+    counters = cells.select("column_name", F.inline(both)).groupBy("column_name", "depth", "bucket")
+    counters = store(counters.agg(F.count(F.lit(1)).alias("in_bucket")), "buckets")
+    fullest = Window.partitionBy("column_name").orderBy(F.desc("in_bucket"), "bucket")
+    first = counters.where("depth = 0").withColumn("place", F.row_number().over(fullest)).where(F.col("place") <= 2 * k)
+    # counters are at most `buckets` a column and hash
+    likely = cells.join(F.broadcast(_named(first, 0)), ["column_name", "bucket_0"], "left_semi")
+    least = _top(_counted(likely), k).where(F.col("rank") == k).select("column_name", F.col("n").alias("least"))
+    reaching = counters.join(F.broadcast(least), "column_name", "left")
+    reaching = reaching.where(F.col("in_bucket") >= F.coalesce("least", F.lit(0)))
+    for depth in (0, 1):
+        at = _named(reaching.where(F.col("depth") == depth), depth)
+        cells = cells.join(F.broadcast(at), ["column_name", f"bucket_{depth}"], "left_semi")
+    return _top(_counted(cells), k)
+
+
+def _named(counters: DataFrame, depth: int) -> DataFrame:
+    return counters.select("column_name", F.col("bucket").alias(f"bucket_{depth}"))
+
+
 def profile_overview(df: DataFrame) -> DataFrame:
     """Size and missing cells of a table, one row."""
     columns = df.columns

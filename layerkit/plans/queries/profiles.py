@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from layerkit.operators import explore as X
 from layerkit.operators import profile as P
+from layerkit.operators import summaries as S
 from layerkit.plans.queries.data import table
 from layerkit.plans.queries.quality import labelled_documents
+from layerkit.session import new_path
 
 NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
 TEXTS = ("text", "lang", "source")
@@ -78,7 +80,40 @@ def repeated(spark, sf):
     return X.repeated_rows(table(spark, sf, "documents").select("text", "lang", "source"))
 
 
+SUMMARISED = ("o_totalprice", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+def over_loads(spark, sf):
+    """The orders' profile merged from kept summaries of each year, and whether its sketches are as near to
+    the exact figures as they promise."""
+    orders = table(spark, sf, "orders")
+    path = new_path(spark, "summaries")
+    S.keep(S.summarise(orders, SUMMARISED, "orders", F.year("o_orderdate")), path)
+    near = S.merged(S.kept(spark, path))
+    exact = P.profile_columns(orders, SUMMARISED).select("column_name", F.col("n_distinct").alias("exactly"))
+    # one line per column on both sides
+    near = near.join(F.broadcast(exact), "column_name").withColumn(
+        "distinct_close", F.abs(F.col("n_distinct") - F.col("exactly")) <= S.DISTINCT_ERROR * F.col("exactly")
+    )
+    numbers = [c for c in SUMMARISED if c in P.numeric_columns(orders)]
+    cells = orders.select(F.inline(F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in numbers]
+    )))
+    placed = cells.join(F.broadcast(near.select("column_name", "q50")), "column_name").groupBy("column_name").agg(
+        (F.count_if(F.col("x") < F.col("q50")) / F.count("x")).alias("below"),
+        (F.count_if(F.col("x") <= F.col("q50")) / F.count("x")).alias("upto"),
+    )
+    near = near.join(F.broadcast(placed), "column_name", "left")
+    close = (F.col("below") <= 0.5 + S.RANK_ERROR) & (F.col("upto") >= 0.5 - S.RANK_ERROR)
+    return _rounded(near.select(
+        "table_name", "column_name", "loads", "n", "n_missing", "min", "max", "mean", "distinct_close",
+        close.alias("median_close"),
+    ))
+
+
 QUERIES = {
+    "profile_merged": over_loads,
+    "profile_top_values_bounded": lambda spark, sf: P.profile_top_values_bounded(table(spark, sf, "lineitem"), CODES, TOP),
     "profile_correlations": correlated,
     "profile_rank_correlations": ranked,
     "profile_associations": associated,
@@ -178,7 +213,26 @@ def _histogram_sql(column, bins=8):
 
 _CODED = ("o_orderstatus", "o_orderpriority", "month")
 
+def _merged_sql(column, numeric):
+    figures = ("min", "max", "avg") if numeric else ()
+    named = ", ".join(
+        (f"round({f}(CAST({column} AS DOUBLE)), 7)" if f in figures else "CAST(NULL AS DOUBLE)") + f" AS {name}"
+        for f, name in (("min", "min"), ("max", "max"), ("avg", "mean"))
+    )
+    return f"""
+        SELECT 'orders' AS table_name, '{column}' AS column_name, count(DISTINCT year(o_orderdate)) AS loads, count(*) AS n,
+               count(*) - count({column}) AS n_missing, {named}, true AS distinct_close,
+               {'true' if numeric else 'CAST(NULL AS BOOLEAN)'} AS median_close
+        FROM orders"""
+
+
+_TOP_SQL = f"SELECT * FROM ({' UNION ALL '.join(_top_sql(c) for c in CODES)}) t WHERE rank <= {TOP}"
+
 SQL = {
+    "profile_merged": " UNION ALL ".join(
+        _merged_sql(c, c in ("o_totalprice", "o_custkey")) for c in SUMMARISED
+    ),
+    "profile_top_values_bounded": _TOP_SQL,
     "profile_correlations": _pairs_sql("lineitem", NUMBERS, _pearson_sql),
     "profile_rank_correlations": f"""
         WITH r AS (SELECT {', '.join(map(_rank_sql, RANKED))}
@@ -201,7 +255,7 @@ SQL = {
         CAST(date_diff('day', min(o_orderdate), max(o_orderdate)) AS INTEGER) AS range_days FROM orders""",
     "profile_numeric": " UNION ALL ".join(_numeric_sql(c) for c in NUMBERS),
     "profile_string": " UNION ALL ".join(_string_sql(c) for c in TEXTS),
-    "profile_top_values": f"SELECT * FROM ({' UNION ALL '.join(_top_sql(c) for c in CODES)}) t WHERE rank <= {TOP}",
+    "profile_top_values": _TOP_SQL,
     "profile_table": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {_common_sql(c, KINDS.get(c, 'numeric'))} FROM {t}"
         for t, columns in TABLES.items()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import lru_cache
 from pathlib import Path
 
@@ -223,6 +224,14 @@ SQL_CHECKS = (
 )
 
 
+NEAR_UNIQUE = replace(BY_NAME["line_duplicates"], near_unique=True)
+
+
+def duplicates_by_hash(spark, sf):
+    """Repeated order lines, of which only those whose key's hash repeats are shuffled."""
+    return C.issue_rows(spark, NEAR_UNIQUE, tables(spark, sf))
+
+
 def dq_layer_sql(spark, sf):
     """Checks written as SQL over tables named by layer."""
     given = {f"silver.{n}": table(spark, sf, n) for n in ("customer", "orders")}
@@ -241,6 +250,7 @@ QUERIES = {
     "dq_error_rows": error_rows,
     "dq_yaml_catalogue": yaml_catalogue,
     "dq_duplicate_keys": _issues("line_duplicates"),
+    "dq_duplicate_keys_two_phase": duplicates_by_hash,
     "dq_domain_violations": _issues("event_domain"),
     "dq_location_codes": _issues("location_codes"),
     "dq_null_keys": _issues("unlabelled"),
@@ -418,6 +428,7 @@ SQL = {
         SELECT check_name, severity, issues_found, CAST(printf('%.2f', clean_pct) AS DOUBLE) AS clean_percentage,
                {_TIERED_SQL.replace('95', '30')} AS status FROM rated""",
     "dq_duplicate_keys": ISSUE_SQL["line_duplicates"],
+    "dq_duplicate_keys_two_phase": ISSUE_SQL["line_duplicates"],
     "dq_domain_violations": ISSUE_SQL["event_domain"],
     "dq_location_codes": ISSUE_SQL["location_codes"],
     "dq_null_keys": ISSUE_SQL["unlabelled"],
