@@ -5,8 +5,9 @@ with inclusion probability r - floor(r). The cube method draws these: while thre
 documents are at hand there is a direction in the null space of the two balancing constraints
 (documents and tokens), along which their probabilities move until one of them is 0 or 1. Totals stay
 as they are. Blocks of documents do this side by side, each leaving two undecided at most; those
-meet in the next round's blocks. A source's last block lands: it gives up the constraint on documents,
-then that on tokens, for the one document left.
+meet in the next round's blocks. A source's last block lands: its documents are decided from the largest on,
+all smaller ones making up for it, so that the constraint on documents, then that on tokens, is given up
+for the smallest ones left.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import random
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,8 +49,8 @@ def _moved(held: list, u: Sequence[float], rng: random.Random) -> None:
         unit[0] = 0.0 if p < _NEAR else 1.0 if p > 1 - _NEAR else p
 
 
-def flight(chances: Sequence[float], sizes: Sequence[float], rng: random.Random, land: bool = False) -> list[float]:
-    """Probabilities after the flight, at most two of them undecided; none after landing."""
+def flight(chances: Sequence[float], sizes: Sequence[float], rng: random.Random) -> list[float]:
+    """Probabilities after the flight, at most two of them undecided."""
     result = list(chances)
     held: list[list] = []
 
@@ -67,17 +69,54 @@ def flight(chances: Sequence[float], sizes: Sequence[float], rng: random.Random,
     if len(held) == 2 and held[0][1] == held[1][1]:
         _moved(held, (1.0, -1.0), rng)
         retire()
-    if land:
-        if len(held) == 2:
-            # the tokens alone are kept
-            _moved(held, (held[1][1], -held[0][1]), rng)
-            retire()
-        for unit in held:
-            unit[0] = float(rng.random() < unit[0])
-        retire()
     return result
 
 
+def _against(p: np.ndarray, sizes: np.ndarray) -> np.ndarray | None:
+    """A direction that moves the first of the documents up and the smaller ones, by what room they have,
+    so that their number and the tokens stay, or the tokens alone if both cannot. None if no word is
+    among the smaller ones to make up for the first one's."""
+    room, first, rest = (p * (1 - p))[1:], sizes[0], sizes[1:]
+    n, words, squares = room.sum(), (room * rest).sum(), (room * rest * rest).sum()
+    both = n * squares - words * words
+    if len(rest) > 1 and both > 1e-9 * n * squares:
+        moves = room * ((first * words - squares) + (words - first * n) * rest) / both
+    elif squares > 0:
+        moves = -first * room * rest / squares
+    elif first == 0:
+        moves = -room / n
+    else:
+        return None
+    return np.append(1.0, moves)
+
+
+def landing(chances: Sequence[float], sizes: Sequence[float], rng: random.Random) -> list[float]:
+    """Probabilities after the last block, each 0 or 1. The totals are off by what the smallest of the
+    undecided documents make up."""
+    p, words = np.array(chances, float), np.array(sizes, float)
+    left = np.argsort(-words, kind="stable")
+    left = left[(p[left] > 0) & (p[left] < 1)]
+    while len(left):
+        own = p[left]
+        u = _against(own, words[left]) if len(left) > 1 else None
+        if u is None:
+            p[left[0]], left = float(rng.random() < own[0]), left[1:]
+            continue
+        with np.errstate(divide="ignore", invalid="ignore"):
+            to_one, to_zero = (1 - own) / np.abs(u), own / np.abs(u)
+        ups = np.where(u > 0, to_one, np.where(u < 0, to_zero, np.inf))
+        downs = np.where(u > 0, to_zero, np.where(u < 0, to_one, np.inf))
+        rises = rng.random() * (ups.min() + downs.min()) < downs.min()
+        reach = ups if rises else downs
+        moved = own + (reach.min() if rises else -reach.min()) * u
+        # the one that sets the step is at its end whatever the rounding
+        at = reach.argmin()
+        moved[at] = float((u[at] > 0) == rises)
+        moved = np.where(moved < _NEAR, 0.0, np.where(moved > 1 - _NEAR, 1.0, moved))
+        p[left], left = moved, left[(moved > 0) & (moved < 1)]
+    return p.tolist()
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """(source, source_size, target) from rows (source, size).
 
@@ -126,9 +165,8 @@ def draw(units: DataFrame, keys: Sequence[str], seed: int = 0, block: int = BLOC
             source, number, blocks = [k.as_py() for k in key]
             rng = random.Random(f"{seed}|{source!r}|{turn}|{number}")
             table = table.sort_by([(c, "ascending") for c in ["_order", *order]]).select(schema.names)
-            chances = flight(
-                table["chance"].to_pylist(), table["size"].to_pylist(), rng, land=blocks == 1
-            )
+            decide = landing if blocks == 1 else flight
+            chances = decide(table["chance"].to_pylist(), table["size"].to_pylist(), rng)
             at = schema.names.index("chance")
             return table.set_column(at, "chance", pa.array(chances, pa.float64()))
 
@@ -181,8 +219,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     `taken` (words the mix takes, repeats counted) and `copies`.
 
     Null texts have no words; null sources are one source, the last. Repeated rows are documents of
-    their own. A source without words has target 0. An empty table gives no rows. The totals of a
-    source are off its target by less than its largest document.
+    their own. A source without words has target 0. An empty table gives no rows. A source's total is
+    off its target by less than its largest document, and by about its smallest one if it has several.
     """
     rows = docs.select(
         column(docs, doc_id).alias("doc_id"), column(docs, source).alias("source"),

@@ -237,13 +237,34 @@ def test_flight_keeps_totals():
     assert sum(0 < p < 1 for p in flown) <= 2
     assert sum(flown) == pytest.approx(sum(chances))
     assert sum(p * s for p, s in zip(flown, sizes)) == pytest.approx(sum(p * s for p, s in zip(chances, sizes)))
-    landed = cube_sampling.flight(chances, sizes, random.Random(1), land=True)
-    assert set(landed) <= {0.0, 1.0}
 
 
-def test_flight_keeps_chances():
-    mean = np.mean([cube_sampling.flight([0.3] * 7, [1, 5, 5, 2, 0, 9, 4], random.Random(i), True) for i in range(4000)], axis=0)
-    assert abs(mean - 0.3).max() < 0.04
+def test_landing_decides_all_and_ends_with_small_documents():
+    rng = random.Random(2)
+    sizes = [rng.randint(1, 900) for _ in range(999)] + [50_000, 0, 0]
+    for seed in range(5):
+        chances = [rng.random() for _ in sizes]
+        landed = cube_sampling.landing(chances, sizes, random.Random(seed))
+        assert set(landed) <= {0.0, 1.0}
+        assert abs(sum(landed) - sum(chances)) < 3
+        assert abs(sum((p - c) * s for p, c, s in zip(landed, chances, sizes))) < sorted(sizes)[20]
+    assert cube_sampling.landing([0.0, 1.0], [3, 4], rng) == [0.0, 1.0] and cube_sampling.landing([], [], rng) == []
+
+
+@pytest.mark.parametrize("sizes", [[1, 5, 5, 2, 0, 9, 4], [7], [0, 0, 0, 0], [30, 0, 0], [3, 3, 3, 3, 3], [8, 2]])
+@pytest.mark.parametrize("chance", [0.3, 0.5])
+def test_landing_keeps_chances(sizes, chance):
+    drawn = [cube_sampling.landing([chance] * len(sizes), sizes, random.Random(i)) for i in range(3000)]
+    assert abs(np.mean(drawn, axis=0) - chance).max() < 0.04
+
+
+def test_sources_come_within_their_median_document(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = cube_sampling.mix(docs.withColumn("source", (F.col("doc_id") % 2).cast("string"))).toPandas()
+    sources = rows.groupby(["source_size", "target"])
+    assert len(sources) == 2
+    for _, own in sources:
+        assert abs(own["taken"].sum() - own["target"].iloc[0]) <= own["size"].median()
 
 
 def test_mix(odd):
