@@ -6,14 +6,14 @@ documents are at hand there is a direction in the null space of the two balancin
 (documents and tokens), along which their probabilities move until one of them is 0 or 1. Totals stay
 as they are. Blocks of documents do this side by side, each leaving two undecided at most; those
 meet in the next round's blocks. A source's last block lands: its documents are decided from the largest on,
-all smaller ones making up for it, so that the constraint on documents, then that on tokens, is given up
-for the smallest ones left.
+all smaller ones making up for it. The constraint on documents is given up where both cannot be kept, that
+on tokens for the smallest ones left.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -72,40 +72,48 @@ def flight(chances: Sequence[float], sizes: Sequence[float], rng: random.Random)
     return result
 
 
-def _against(p: np.ndarray, sizes: np.ndarray) -> np.ndarray | None:
-    """A direction that moves the first of the documents up and the smaller ones, by what room they have,
-    so that their number and the tokens stay, or the tokens alone if both cannot. None if no word is
-    among the smaller ones to make up for the first one's."""
+def _against(p: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Directions that move the first of the documents up and the smaller ones the other way by the room
+    they have: both constraints kept; the tokens kept, larger ones moving more; the tokens kept, all
+    alike. None if the smaller ones have no word to make up for the first one's."""
     room, first, rest = (p * (1 - p))[1:], sizes[0], sizes[1:]
     n, words, squares = room.sum(), (room * rest).sum(), (room * rest * rest).sum()
     both = n * squares - words * words
-    if len(rest) > 1 and both > 1e-9 * n * squares:
-        moves = room * ((first * words - squares) + (words - first * n) * rest) / both
-    elif squares > 0:
-        moves = -first * room * rest / squares
-    elif first == 0:
-        moves = -room / n
-    else:
-        return None
-    return np.append(1.0, moves)
+    if len(rest) > 2 and both > 1e-9 * n * squares:
+        yield np.append(1.0, room * ((first * words - squares) + (words - first * n) * rest) / both)
+    if words > 0:
+        yield np.append(1.0, -first * room * rest / squares)
+        yield np.append(1.0, -first * room / words)
+    elif first == 0 and n > 0:
+        yield np.append(1.0, -room / n)
+
+
+def _reaches(p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How far every probability can move along `u` and against it."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        to_one, to_zero = (1 - p) / np.abs(u), p / np.abs(u)
+    return (
+        np.where(u > 0, to_one, np.where(u < 0, to_zero, np.inf)),
+        np.where(u > 0, to_zero, np.where(u < 0, to_one, np.inf)),
+    )
 
 
 def landing(chances: Sequence[float], sizes: Sequence[float], rng: random.Random) -> list[float]:
-    """Probabilities after the last block, each 0 or 1. The totals are off by what the smallest of the
-    undecided documents make up."""
+    """Probabilities after the last block, each 0 or 1. The largest undecided document goes first, along
+    the first direction that decides it; if none does, along the last one. So the tokens are off by what
+    small documents have, and their number only where both cannot be kept."""
     p, words = np.array(chances, float), np.array(sizes, float)
     left = np.argsort(-words, kind="stable")
     left = left[(p[left] > 0) & (p[left] < 1)]
     while len(left):
-        own = p[left]
-        u = _against(own, words[left]) if len(left) > 1 else None
+        own, u = p[left], None
+        for u in _against(own, words[left]):
+            ups, downs = _reaches(own, u)
+            if ups[0] <= ups.min() and downs[0] <= downs.min():
+                break
         if u is None:
             p[left[0]], left = float(rng.random() < own[0]), left[1:]
             continue
-        with np.errstate(divide="ignore", invalid="ignore"):
-            to_one, to_zero = (1 - own) / np.abs(u), own / np.abs(u)
-        ups = np.where(u > 0, to_one, np.where(u < 0, to_zero, np.inf))
-        downs = np.where(u > 0, to_zero, np.where(u < 0, to_one, np.inf))
         rises = rng.random() * (ups.min() + downs.min()) < downs.min()
         reach = ups if rises else downs
         moved = own + (reach.min() if rises else -reach.min()) * u
@@ -220,7 +228,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     Null texts have no words; null sources are one source, the last. Repeated rows are documents of
     their own. A source without words has target 0. An empty table gives no rows. A source's total is
-    off its target by less than its largest document, and by about its smallest one if it has several.
+    off its target by less than its largest document, and if it has some dozens of them by little more than a median one.
     """
     rows = docs.select(
         column(docs, doc_id).alias("doc_id"), column(docs, source).alias("source"),
