@@ -228,7 +228,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     Null texts have no words; null sources are one source, the last. Repeated rows are documents of
     their own. A source without words has target 0. An empty table gives no rows. A source's total is
-    off its target by less than its largest document, and if it has some dozens of them by little more than a median one.
+    off its target by less than its largest document; the more documents it has, the less.
     """
     rows = docs.select(
         column(docs, doc_id).alias("doc_id"), column(docs, source).alias("source"),
