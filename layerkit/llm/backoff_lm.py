@@ -1,17 +1,23 @@
 """Stupid-backoff language-model scores from n-gram tables partitioned by hash.
 
 Texts are gathered into chunks. A chunk's distinct n-grams, with their counts there, are exploded into
-blocks by their length and the upper bits of their hash; blocks of the same bits meet in one task,
-which is one partition of the count table. The table's counts are joined back to every block and so
-to its chunk, where scores are summed per document. What is shuffled are packed runs of
+blocks by their length and equal ranges of their hash; blocks of the same range meet in one task,
+which holds one partition of the count table for every length. The table's counts are joined back to every
+block and so to its chunk, where scores are summed per document. What is shuffled are packed runs of
 sorted hashes and counts, not rows per n-gram; a frequent n-gram is one entry per chunk.
 
+Tasks grow in number with the corpus, so that none grows. A chunk is never cut into more than `FAN` blocks of
+a length at once: beyond as many partitions, blocks of a wider range are merged by teams of chunks first, and
+the merged ones are cut further, level by level. Blocks thus number chunks times `FAN` per level, and
+not chunks times partitions. Counts return the same way, through the teams to the chunks.
+
 A document is scored by what the other documents say: its own occurrences are taken off all
 counts. Otherwise every n-gram would have been seen and nothing would back off.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +34,10 @@ ORDER = 3
 BACKOFF = 0.4
 #: Bytes of text in a chunk.
 CHUNK = 12 << 20
-#: n-grams a partition of the count table holds on average.
+#: Words whose n-grams one task counts on average, and so the n-grams of a length in a partition of the count table.
 PARTITION = 1 << 22
+#: Ranges of hashes a block is cut into at once, and blocks that a team merges on average.
+FAN = 1 << 12
 _CHUNKS = "chunk bigint, ids binary, texts binary"
 _BLOCKS = "part bigint, chunk bigint, grams binary, counts binary"
 _REPLIES = "chunk bigint, part bigint, counts binary"
@@ -121,45 +129,90 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     return docs.mapInArrow(gather, _CHUNKS)
 
 
-def _blocks(gathered: DataFrame, order: int, bits: int) -> DataFrame:
-    """Rows (part, chunk, grams, counts); the number of a part has the n-gram's length above `bits`
-    bits of its hash."""
+def _ranges(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Which of `parts` equal ranges each hash is in; ranges of a multiple of `parts` lie within these."""
+    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def _cut(chunk: int, n: int, values: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """A block for every range that sorted n-grams of a length fall in."""
+    part = _ranges(values, parts)
+    edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(values))
+    for a, b in zip(edges[:-1], edges[1:]) if len(values) else ():
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([n * parts + part[a]], pa.int64()), pa.array([chunk], pa.int64()),
+                pa.array([_sorted_bytes(values[a:b])], pa.binary()), pa.array([_squeezed(counts[a:b])], pa.binary()),
+            ],
+            names=["part", "chunk", "grams", "counts"],
+        )
+
+
+def _blocks(gathered: DataFrame, order: int, parts: int) -> DataFrame:
+    """Rows (part, chunk, grams, counts); a part is the n-gram's length times `parts`, and the range of its hash."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 _, hashes, _ = grams(_unpacked(r["texts"], len(_ids(r["ids"]))), order)
                 for n in range(order):
-                    yield from of_length(n, r["chunk"], hashes[n])
-
-    def of_length(n: int, chunk: int, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        values, counts = np.unique(hashes, return_counts=True)
-        part = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
-        edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(values))
-        for a, b in zip(edges[:-1], edges[1:]) if len(values) else ():
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([(n << bits) + part[a]], pa.int64()), pa.array([chunk]),
-                    pa.array([_sorted_bytes(values[a:b])], pa.binary()), pa.array([_squeezed(counts[a:b])], pa.binary()),
-                ],
-                names=["part", "chunk", "grams", "counts"],
-            )
+                    yield from _cut(r["chunk"], n, *np.unique(hashes[n], return_counts=True), parts)
 
     return gathered.mapInArrow(explode, _BLOCKS)
 
 
-def _counted(table: pa.Table) -> pa.Table:
-    """One partition of the count table joined to the blocks asking for it."""
-    blocks = [_from_sorted_bytes(g.as_py()) for g in table["grams"]]
-    values = np.concatenate(blocks)
-    counts = np.concatenate([_unsqueezed(c.as_py()) for c in table["counts"]])
+def _grams(blocks: pa.Table) -> list[np.ndarray]:
+    return [_from_sorted_bytes(g.as_py()) for g in blocks["grams"]]
+
+
+def _summed(blocks: pa.Table, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of all blocks, sorted, and their counts."""
+    values = np.concatenate(grams)
+    counts = np.concatenate([_unsqueezed(c.as_py()) for c in blocks["counts"]])
     order = np.argsort(values, kind="stable")
     values = values[order]
     first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-    total = np.add.reduceat(counts[order], first)
-    values = values[first]
-    replies = [_squeezed(total[np.searchsorted(values, b)]) for b in blocks]
-    return pa.table({"chunk": table["chunk"], "part": table["part"], "counts": pa.array(replies, pa.binary())})
+    return values[first], np.add.reduceat(counts[order], first)
+
+
+def _replied(blocks: pa.Table, grams: list[np.ndarray], values: np.ndarray, total: np.ndarray) -> pa.Table:
+    replies = [_squeezed(total[np.searchsorted(values, g)]) for g in grams]
+    return pa.table({"chunk": blocks["chunk"], "part": blocks["part"], "counts": pa.array(replies, pa.binary())})
+
+
+def _counted(blocks: pa.Table) -> pa.Table:
+    """One partition of the count table joined to the blocks asking for it."""
+    grams = _grams(blocks)
+    return _replied(blocks, grams, *_summed(blocks, grams))
+
+
+def _answers(asked: DataFrame, chunks: int, fan: int, parts: int, partitions: int) -> DataFrame:
+    """Replies to blocks cut into `parts` ranges by about `chunks` askers, `partitions` being the
+    ranges to count in: at once, or merged by teams and cut `fan` times finer."""
+    if parts >= partitions:
+        # every task gets the same number of ranges of each length
+        dealt = asked.withColumn("slot", F.pmod("part", F.lit(partitions)).cast("int"))
+        return dealt.repartitionById(partitions, "slot").groupBy("slot", "part").applyInArrow(_counted, _REPLIES)
+    teams = -(-chunks // fan)
+    asked = asked.withColumn("team", F.pmod(F.xxhash64("chunk"), F.lit(teams))).repartition(partitions, "part", "team")
+
+    def merged(blocks: pa.Table) -> pa.Table:
+        n = blocks["part"][0].as_py() // parts
+        return pa.Table.from_batches(
+            list(_cut(blocks["team"][0].as_py(), n, *_summed(blocks, _grams(blocks)), parts * fan))
+        )
+
+    def returned(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        grams = _grams(blocks)
+        known = [_unsqueezed(c.as_py()) for c in answers.sort_by("finer")["counts"]]
+        return _replied(blocks, grams, np.unique(np.concatenate(grams)), np.concatenate(known))
+
+    finer = asked.groupBy("part", "team").applyInArrow(merged, _BLOCKS)
+    replies = _answers(finer, teams, fan, parts * fan, partitions).select(
+        F.expr(f"part div {fan}").alias("part"), F.col("chunk").alias("team"), F.col("part").alias("finer"), "counts"
+    )
+    back = replies.repartition(partitions, "part", "team").groupBy("part", "team")
+    return asked.groupBy("part", "team").cogroup(back).applyInArrow(returned, _REPLIES)
 
 
 def _own(which: np.ndarray, owner: np.ndarray, several: int) -> np.ndarray:
@@ -203,14 +256,20 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     Ids may repeat or be null. An empty table gives no rows.
     """
     rows = docs.select(column(docs, doc_id).alias("doc_id"), column(docs, text).alias("text"))
-    volume = rows.agg(
-        F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD)).cast("bigint")), F.lit(0)).alias("words")
-    ).first()["words"]
-    several = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = (max(several, volume // PARTITION) - 1).bit_length()
+    size = rows.agg(
+        F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD)).cast("bigint")), F.lit(0)).alias("words"),
+        F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0)).alias("bytes"),
+    ).first()
+    volume = size["words"]
+    several = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), volume // PARTITION)
+    levels = 1
+    while FAN**levels < several:
+        levels += 1
+    fan = several if levels == 1 else math.ceil(several ** (1 / levels))
+    partitions = fan**levels
     gathered = chunks(rows).repartition(several, "chunk")
-    asked = _blocks(gathered, order, bits)
-    replies = asked.groupBy("part").applyInArrow(_counted, _REPLIES)
+    asked = _blocks(gathered, order, fan)
+    replies = _answers(asked, max(1, size["bytes"] // CHUNK), fan, fan, partitions).repartition(several, "chunk")
     schema = rows.select(
         "doc_id", F.lit(0).cast("bigint").alias("n_words"), F.lit(0.0).alias("log_score"),
         F.lit(None).cast("double").alias("mean_log"),
@@ -219,7 +278,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     def summed(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         kept = []
         answers = answers.sort_by("part")
-        length = answers["part"].to_numpy() >> bits
+        length = answers["part"].to_numpy() // fan
 
         def seen(n: int, values: np.ndarray) -> np.ndarray:
             own = answers["counts"].filter(pa.array(length == n))

@@ -531,6 +531,29 @@ def test_chunks_of_any_size_score_the_same(odd, monkeypatch):
     assert Counter((r[0], r[1], round(r[2], 6)) for r in backoff_lm.score(odd.repartition(3)).collect()) == want
 
 
+def test_counts_come_back_through_several_levels(spark, odd, monkeypatch):
+    want = Counter((r[0], r[1], round(r[2], 6)) for r in backoff_lm.score(odd).collect())
+    gathered, cut = backoff_lm.chunks, backoff_lm._answers
+    levels = []
+
+    def answers(asked, chunks, fan, parts, partitions):
+        levels.append((fan, parts, partitions))
+        return cut(asked, chunks, fan, parts, partitions)
+
+    monkeypatch.setattr(backoff_lm, "chunks", lambda docs: gathered(docs, 300))
+    monkeypatch.setattr(backoff_lm, "CHUNK", 300)
+    monkeypatch.setattr(backoff_lm, "FAN", 2)
+    monkeypatch.setattr(backoff_lm, "_answers", answers)
+    got = backoff_lm.score(odd.repartition(3)).collect()
+    assert Counter((r[0], r[1], round(r[2], 6)) for r in got) == want
+    assert [parts for _, parts, _ in levels] == [2, 4, 8] and {p for *_, p in levels} == {8}
+
+
+def test_every_task_counts_the_same_number_of_ranges(odd):
+    plan = backoff_lm.score(odd)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM"), plan
+
+
 # ---- quality
 
 def test_resampling_prefers_what_looks_like_the_target(spark):
