@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from layerkit.functions import prefer
 from layerkit.operators.dedupe import current_rows
-from layerkit.operators.joins import left_join
+from layerkit.operators.joins import Measurement, left_join
 from layerkit.operators.keys import surrogate_key
 
 
@@ -18,8 +18,9 @@ def dim_customers(
     `staging` is where the key operator keeps its sorted rows."""
     birth = demographics.select(F.col("cid").alias("birth_cid"), "bdate", "gen")
     place = locations.select(F.col("cid").alias("place_cid"), "cntry")
-    joined = left_join(customers, birth, "cst_key", "birth_cid")
-    joined = left_join(joined, place, "cst_key", "place_cid", hot_from=customers)
+    keys = Measurement(customers, "cst_key")
+    joined = left_join(customers, birth, "cst_key", "birth_cid", hot_from=keys)
+    joined = left_join(joined, place, "cst_key", "place_cid", hot_from=keys)
     rows = joined.select(
         F.col("cst_id").alias("customer_id"),
         F.col("cst_key").alias("customer_number"),
@@ -59,8 +60,9 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
     """Sales with dimension keys; a sale without a match keeps a NULL key."""
     product = products.select("product_number", "product_key")
     customer = customers.select("customer_id", "customer_key")
-    joined = left_join(sales, product, "sls_prd_key", "product_number")
-    joined = left_join(joined, customer, "sls_cust_id", "customer_id", hot_from=sales)
+    keys = Measurement(sales, "sls_prd_key", "sls_cust_id")
+    joined = left_join(sales, product, "sls_prd_key", "product_number", hot_from=keys)
+    joined = left_join(joined, customer, "sls_cust_id", "customer_id", hot_from=keys)
     return joined.select(
         F.col("sls_ord_num").alias("order_number"),
         "product_key",
@@ -78,7 +80,9 @@ def orphaned_facts(fact: DataFrame, products: DataFrame, customers: DataFrame) -
     """Facts for which either dimension row is missing, with the ids that were found."""
     customer = customers.select(F.col("customer_key").alias("c_key"), "customer_id")
     product = products.select(F.col("product_key").alias("p_key"), "product_id")
-    joined = left_join(fact.select("order_number", "customer_key", "product_key"), customer, "customer_key", "c_key")
-    joined = left_join(joined, product, "product_key", "p_key", hot_from=fact)
+    keys = Measurement(fact, "customer_key", "product_key")
+    keyed = fact.select("order_number", "customer_key", "product_key")
+    joined = left_join(keyed, customer, "customer_key", "c_key", hot_from=keys)
+    joined = left_join(joined, product, "product_key", "p_key", hot_from=keys)
     lost = F.col("customer_id").isNull() | F.col("product_id").isNull()
     return joined.where(lost).select("order_number", "customer_key", "product_key", "customer_id", "product_id")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerkit.operators import checks as C
-from layerkit.operators.joins import left_anti_join, left_join
+from layerkit.operators.joins import Measurement, left_anti_join, left_join
 from layerkit.operators.report import report_lines, write_issues, write_report, write_summary
 from layerkit.plans.queries import star
 from layerkit.plans.queries.cleanse import SQL as CLEANSE_SQL
@@ -40,8 +40,10 @@ def customer_locations(spark, sf):
 def orphans(fact, products, customers):
     product = products.select(F.col("product_key").alias("p_key"), "product_id")
     customer = customers.select(F.col("customer_key").alias("c_key"), "customer_id")
-    joined = left_join(fact.select("order_number", "line", "customer_key", "product_key"), product, "product_key", "p_key")
-    joined = left_join(joined, customer, "customer_key", "c_key", hot_from=fact)
+    keys = Measurement(fact, "product_key", "customer_key")
+    keyed = fact.select("order_number", "line", "customer_key", "product_key")
+    joined = left_join(keyed, product, "product_key", "p_key", hot_from=keys)
+    joined = left_join(joined, customer, "customer_key", "c_key", hot_from=keys)
     return joined.where("customer_id IS NULL OR product_id IS NULL").drop("p_key", "c_key")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from layerkit.functions import prefer
 from layerkit.operators.dedupe import current_rows
-from layerkit.operators.joins import left_join
+from layerkit.operators.joins import Measurement, left_join
 from layerkit.operators.keys import stable_key, surrogate_key
 from layerkit.plans.queries.data import RAW_PARTS_SQL, raw_parts, table
 from layerkit.session import new_path, store
@@ -81,8 +81,9 @@ def fact(sold, products, customers):
     """The fact table from the stored `sales`."""
     product = products.select("product_id", "product_key")
     customer = customers.select("customer_id", "customer_key")
-    joined = left_join(sold, product, "l_partkey", "product_id")
-    joined = left_join(joined, customer, "o_custkey", "customer_id", hot_from=sold)
+    keys = Measurement(sold, "l_partkey", "o_custkey")
+    joined = left_join(sold, product, "l_partkey", "product_id", hot_from=keys)
+    joined = left_join(joined, customer, "o_custkey", "customer_id", hot_from=keys)
     return joined.select(
         F.col("l_orderkey").alias("order_number"),
         F.col("l_linenumber").alias("line"),

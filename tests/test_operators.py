@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from layerkit.operators.dedupe import current_rows, keep_latest
-from layerkit.operators.joins import _hot_salts, hot_values, left_anti_join, left_join, size_in_bytes
+from layerkit.operators.joins import Measurement, _hot_salts, hot_values, left_anti_join, left_join, size_in_bytes
 from layerkit.operators.keys import stable_key, surrogate_key
 
 
@@ -197,13 +197,43 @@ def test_a_key_frequent_on_both_sides_is_spread_on_both(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_measurement_finds_what_counting_finds(spark):
+    df = skewed(spark).withColumn("t", F.when(F.col("id") % 4 == 0, F.lit("often")).otherwise(F.col("id").cast("string")))
+    df = df.withColumn("b", F.encode("t", "utf-8"))
+    seen = Measurement(df, "k", "t", "b", share=0.01)
+    assert seen.size == size_in_bytes(df)
+    for column in seen.columns:
+        found, counted = seen.hot(column), hot_values(df, column, 0.01)
+        assert list(found) == list(counted) and len(found) == 1
+        assert next(iter(found.values())) == pytest.approx(next(iter(counted.values())), abs=0.0025)
+    none = Measurement(df.where("id < 0"), "k", "t")
+    assert none.size == 0 and none.hot("k") == {} and none.hot("t") == {}
+    missing = Measurement(spark.range(500).select(F.lit(None).cast("string").alias("k")), "k")
+    assert missing.hot("k") == {}
+
+
+def test_joins_share_one_measurement(spark):
+    left = skewed(spark).withColumn("k2", F.col("id") % 11)
+    first = spark.range(997).select(F.col("id").alias("a"), F.col("id").alias("va"))
+    second = spark.range(11).select(F.col("id").alias("b"), F.col("id").alias("vb"))
+    tracker, group = spark.sparkContext.statusTracker(), f"joins-{id(left)}"
+    spark.sparkContext.setJobGroup(group, "joins")
+    keys = Measurement(left, "k", "k2")
+    joined = left_join(left, first, "k", "a", broadcast_bytes=0, hot_from=keys)
+    joined = left_join(joined, second, "k2", "b", broadcast_bytes=0, hot_from=keys)
+    # two stages of one aggregate over each of the three tables
+    assert len(tracker.getJobIdsForGroup(group)) <= 6
+    plain = left.join(first, left.k == first.a, "left").join(second, left.k2 == second.b, "left")
+    assert rows(joined) == rows(plain)
+
+
 @pytest.mark.parametrize("partitions, salts", [("8", 3), ("600", 201)])
 def test_salts_grow_with_the_shuffle_partitions(spark, partitions, salts):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     df = skewed(spark)
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        assert _hot_salts(df, "k", None) == {7: salts}
+        assert _hot_salts(Measurement(df, "k"), "k") == {7: salts}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
