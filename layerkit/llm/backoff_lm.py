@@ -129,6 +129,12 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     return docs.mapInArrow(gather, _CHUNKS)
 
 
+def _spread(rows: DataFrame, tasks: int) -> DataFrame:
+    """Rows dealt by their chunk: the first chunks of all partitions one after the other, then the second ones."""
+    slot = F.expr(f"cast(pmod((chunk >> 32) + (chunk & 4294967295) * 2654435761, {tasks}) as int)")
+    return rows.withColumn("slot", slot).repartitionById(tasks, "slot")
+
+
 def _ranges(hashes: np.ndarray, parts: int) -> np.ndarray:
     """Which of `parts` equal ranges each hash is in; ranges of a multiple of `parts` lie within these."""
     return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
@@ -267,9 +273,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
         levels += 1
     fan = several if levels == 1 else math.ceil(several ** (1 / levels))
     partitions = fan**levels
-    gathered = chunks(rows).repartition(several, "chunk")
+    gathered = _spread(chunks(rows), several)
     asked = _blocks(gathered, order, fan)
-    replies = _answers(asked, max(1, size["bytes"] // CHUNK), fan, fan, partitions).repartition(several, "chunk")
+    replies = _answers(asked, max(1, size["bytes"] // CHUNK), fan, fan, partitions)
     schema = rows.select(
         "doc_id", F.lit(0).cast("bigint").alias("n_words"), F.lit(0.0).alias("log_score"),
         F.lit(None).cast("double").alias("mean_log"),
@@ -294,5 +300,5 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
             kept.append(pa.table([ids, pa.array(counts), pa.array(total), pa.array(mean, mask=counts == 0)], schema.names))
         return pa.concat_tables(kept) if kept else pa.table([[]] * 4, schema.names)
 
-    answered = gathered.groupBy("chunk").cogroup(replies.groupBy("chunk"))
+    answered = gathered.groupBy("slot", "chunk").cogroup(_spread(replies, several).groupBy("slot", "chunk"))
     return answered.applyInArrow(summed, schema)
